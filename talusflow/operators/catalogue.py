@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,24 +82,23 @@ def outer_merge_id(dates: DataFrame, locations: DataFrame, hazards: DataFrame) -
     return dates.join(locations, "id", "full").join(hazards, "id", "full")
 
 
-def country_alias_dim(spark) -> DataFrame:
-    """The fixed spellings as a table (name, code)."""
-    return spark.createDataFrame(list(COUNTRY_ALIASES.items()), "name string, code string")
-
-
-def with_country_code(df: DataFrame, country_dim: DataFrame, alias_dim: DataFrame,
+def with_country_code(df: DataFrame, country_dim: DataFrame,
+                      aliases: Mapping[str, str] = COUNTRY_ALIASES,
                       country: str = "country") -> DataFrame:
     """Add `country_code`: by official name, else by alias, else 'Unknown'.
 
-    No broadcast hint: the planner broadcasts the two lists when their measured size allows, and
-    otherwise shuffles with skew handling.
+    `country_dim` holds name and code. It gets no broadcast hint: the planner broadcasts it when
+    its measured size allows, and otherwise shuffles with skew handling. The few aliases are
+    constants of the expression.
     """
     official = country_dim.select(F.col("name").alias(country), F.col("code").alias("_official"))
-    alias = alias_dim.select(F.col("name").alias(country), F.col("code").alias("_alias"))
+    alias = F.lit(None).cast("string")
+    for name, code in aliases.items():
+        alias = F.when(F.col(country) == name, F.lit(code)).otherwise(alias)
     return (
-        df.join(official, country, "left").join(alias, country, "left")
-        .withColumn("country_code", F.coalesce("_official", "_alias", F.lit(UNKNOWN_COUNTRY)))
-        .drop("_official", "_alias")
+        df.join(official, country, "left")
+        .withColumn("country_code", F.coalesce("_official", alias, F.lit(UNKNOWN_COUNTRY)))
+        .drop("_official")
     )
 
 

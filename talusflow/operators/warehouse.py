@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talusflow.operators.indexing import first_per_key, with_row_index
@@ -13,6 +13,11 @@ from talusflow.schemas import BLOCK_KEYS, COORD, DEPTHS, HOURS, METRIC_NAMES, WA
 PLACE = ["longitude", "latitude"]
 
 
+def _empty(spark: SparkSession, table: str) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in WAREHOUSE[table].fields]
+    return spark.range(0).select(*columns).where(F.lit(False))
+
+
 def _highest(table: DataFrame, key: str) -> Column:
     return table.agg(F.coalesce(F.max(key), F.lit(0).cast("long"))).scalar()
 
@@ -67,9 +72,8 @@ def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None
     shuffle of the hourly rows beyond the join to their event, and gives the numbers a serial
     load of complete blocks would.
     """
-    spark = staged.sparkSession
     existing = existing or {
-        name: spark.createDataFrame([], schema) for name, schema in WAREHOUSE.items()
+        name: _empty(staged.sparkSession, name) for name in ("location", "landslide_event")
     }
     blocks = with_row_index(first_of_block(staged), BLOCK_KEYS, "event_id", start=1).withColumn(
         "event_id", F.col("event_id") + _highest(existing["landslide_event"], "event_id")

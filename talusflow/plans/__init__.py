@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-_QUERY_MODULES = ("feature_queries", "warehouse_queries")
+_QUERY_MODULES = ("feature_queries", "warehouse_queries", "statistics_queries", "model_queries",
+                  "io_queries")
 
 
 def _registry():

@@ -56,8 +56,7 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
     """
     parsed = cat.parse_catalogue(cat.catalogue_union(**catalogues))
     dated, undated = cat.split_undated(parsed)
-    records = cat.with_country_code(cat.with_negative_controls(dated), country_dim,
-                                    cat.country_alias_dim(spark))
+    records = cat.with_country_code(cat.with_negative_controls(dated), country_dim)
     hourly = enrich_with_observations(
         records.withColumn("country", F.col("country_code")), observations)
     good, bad = split_quarantine(cat.stage_rows(hourly), RULES["staged_hour"])

@@ -154,7 +154,7 @@ def country_code(spark, sf_dir):
         F.col("r_name") != "ASIA").select(
         F.col("n_name").alias("name"),
         F.expr("concat(upper(substr(r_name, 1, 2)), n_nationkey)").alias("code"))
-    coded = cat.with_country_code(customers, codes, cat.country_alias_dim(spark))
+    coded = cat.with_country_code(customers, codes)
     return coded.select("c_custkey", "country_code")
 
 
