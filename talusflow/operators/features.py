@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from talusflow.functions.scalars import hour_of
 from talusflow.functions.vectors import sequence_name
 from talusflow.operators.indexing import first_per_key
-from talusflow.operators.skew import SALT, count_hot_keys, replicate, salted_join, spread
+from talusflow.operators.skew import SALT, count_hot_keys, replicate, skew_join, spread
 from talusflow.schemas import DAY_KEYS, DEPTHS, HOURS, METRIC_NAMES, METRICS
 
 WEATHER_METRICS = ["temperature", "rain", "precipitation", "relative_humidity"]
@@ -99,7 +99,7 @@ def facts_per_hour(facts: DataFrame) -> DataFrame:
 
 def join_event_weather_day(labelled: DataFrame, per_hour: DataFrame) -> DataFrame:
     """Each event with the hours of its own location and day (at most one row per hour)."""
-    return salted_join(labelled, per_hour, DAY_KEYS, ["event_id"])
+    return skew_join(labelled, per_hour, DAY_KEYS, ["event_id"])
 
 
 def dedup_event_hour(labelled: DataFrame, facts: DataFrame) -> DataFrame:
@@ -124,30 +124,31 @@ def hour_slots(hours: DataFrame, keys: list[str], metrics: list[str],
                n_hours: int = HOURS, fill: float | str = 0.0) -> DataFrame:
     """Fixed-length arrays `features_<metric>` per key, ordered by hour.
 
-    `hours` may repeat an hour: the lowest `order` wins. At most `n_hours` rows per key are
-    gathered, since the repeats go in a partial aggregation first. Empty hours get `fill`; with
-    `fill='mean'` the mean of the key's own hours (0 when it has none).
+    `hours` may repeat an hour: the row with the lowest `order` wins. One aggregation with a slot
+    per hour does the dedup, the ordering and the grid: each task sends at most `n_hours` rows
+    per key into the only shuffle, and no list is gathered. Missing values get `fill`; with
+    `fill='mean'` the mean of the key's own values (0 when it has none).
     """
-    one_each = hours.groupBy(*keys, hour).agg(
-        F.min(F.struct(F.col(order), *[F.col(m) for m in metrics])).alias("_values")
-    )
-    packed = one_each.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(hour), F.col("_values")))).alias("_map"),
-        F.count(F.lit(1)).alias("n_hours"),
-        *([F.avg(f"_values.{m}").alias(f"_mean_{m}") for m in metrics] if fill == "mean" else []),
-    )
-    slots = packed.withColumn(
-        "_slots",
-        F.transform(F.sequence(F.lit(0), F.lit(n_hours - 1)),
-                    lambda h: F.try_element_at(F.col("_map"), h)),
+    row = F.struct(F.col(order), *[F.col(m).cast("double").alias(m) for m in metrics])
+    names = [f"_hour_{h}" for h in range(n_hours)]
+    slots = (
+        hours.select(*keys, hour, row.alias("_row"))
+        .groupBy(*keys)
+        .agg(*[F.min(F.when(F.col(hour) == h, F.col("_row"))).alias(name)
+               for h, name in enumerate(names)])
     )
 
     def column(metric: str) -> Column:
-        default = F.lit(float(fill)) if fill != "mean" else F.coalesce(
-            F.col(f"_mean_{metric}"), F.lit(0.0))
-        return F.transform("_slots", lambda s: F.coalesce(s[metric].cast("double"), default))
-
-    return slots.select(*keys, "n_hours",
+        if fill != "mean":
+            return F.array(*[F.coalesce(F.col(n)[metric], F.lit(float(fill))) for n in names])
+        values = F.array(*[F.col(n)[metric] for n in names])
+        known = F.array_compact(values)
+        total = F.aggregate(known, F.lit(0.0), lambda acc, v: acc + v)
+        mean = F.coalesce(F.try_divide(total, F.size(known)), F.lit(0.0))
+        return F.transform(values, lambda v: F.coalesce(v, mean))
+
+    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    return slots.select(*keys, present.alias("n_hours"),
                         *[column(m).alias(sequence_name(m)) for m in metrics])
 
 
@@ -158,17 +159,16 @@ def event_sequences(labelled: DataFrame, facts: DataFrame, fill: float | str = 0
     of that day. Days on which very many events fall are packed under several salts, so that
     their events spread over as many tasks.
     """
-    hot = count_hot_keys(labelled, DAY_KEYS)
-    kind = facts.schema["time"].dataType
-    timed = facts.withColumn("hour", hour_of("time", kind))
-    keys = [*DAY_KEYS, SALT]
-    days = hour_slots(replicate(timed, hot, DAY_KEYS), keys, METRIC_NAMES, fill=fill)
-    return (
-        spread(labelled, hot, DAY_KEYS, ["event_id"])
-        .select("event_id", "label", *keys)
-        .join(days, keys)
-        .drop(*keys)
-    )
+    timed = facts.withColumn("hour", hour_of("time", facts.schema["time"].dataType))
+    events = labelled.select("event_id", "label", *DAY_KEYS)
+    keys = DAY_KEYS
+    hot = count_hot_keys(events, DAY_KEYS)
+    if hot is not None:
+        timed = replicate(timed, hot, DAY_KEYS)
+        events = spread(events, hot, DAY_KEYS, ["event_id"])
+        keys = [*DAY_KEYS, SALT]
+    days = hour_slots(timed, keys, METRIC_NAMES, fill=fill)
+    return events.join(days, keys).drop(*keys)
 
 
 def predict_sequences(hourly: DataFrame, fill: float | str = 0.0) -> DataFrame:
@@ -214,4 +214,4 @@ def join_point_observation(points: DataFrame, observations: DataFrame, by: list[
     points of a place and day that holds very many of them.
     """
     lowest = first_per_key(observations, [*PLACE_DAY, time], [order])
-    return salted_join(points, lowest, PLACE_DAY, by)
+    return skew_join(points, lowest, PLACE_DAY, by)

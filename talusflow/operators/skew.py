@@ -4,31 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "_salt"
 PARTS = 512
-FLOOR = 1_000_000
+FLOOR = 100_000
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows: str,
-             parts: int = PARTS, floor: int = FLOOR) -> DataFrame:
-    """Keys whose row count exceeds a 1/`parts` share of all rows, with their number of salts.
+             parts: int = PARTS, floor: int = FLOOR) -> DataFrame | None:
+    """Keys that hold more than a 1/`parts` share of all rows, with their number of salts.
 
-    `counts` has one row per key. Fewer than `parts` keys can hold more than that share, and
-    their salts add up to at most 2 * `parts`, so the result is small whatever the data size.
-    Below `floor` rows a key is never split.
+    `counts` has one row per key and is measured here, before the join is planned. Fewer than
+    `parts` keys can hold more than that share, and their salts add up to at most 2 * `parts`:
+    that bounds what is fetched and broadcast, whatever the data size. A key with up to `floor`
+    rows is never split. None means that no key needs it and a plain join will do.
     """
-    quota = counts.agg(
-        F.greatest(F.lit(floor).cast("double"), F.sum(rows) / F.lit(parts)).alias("quota")
-    ).scalar()
-    return counts.where(F.col(rows) > quota).select(
-        *keys, F.ceil(F.col(rows) / quota).cast("int").alias("_salts")
-    )
+    total, highest = counts.agg(F.sum(rows), F.max(rows)).first()
+    quota = max(float(floor), (total or 0) / parts)
+    if highest is None or highest <= quota:
+        return None
+    found = counts.where(F.col(rows) > quota).select(
+        *keys, F.ceil(F.col(rows) / F.lit(quota)).cast("int").alias("_salts"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in found.schema.fields])
+    return counts.sparkSession.createDataFrame(found.collect(), schema)
 
 
 def count_hot_keys(df: DataFrame, keys: list[str],
-                   parts: int = PARTS, floor: int = FLOOR) -> DataFrame:
-    """`hot_keys` of a table that still has to be counted (partial counts before the shuffle)."""
+                   parts: int = PARTS, floor: int = FLOOR) -> DataFrame | None:
+    """`hot_keys` of a table that still has to be counted: one pass over its key columns."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return hot_keys(counts, keys, "_rows", parts, floor)
 
@@ -54,9 +58,16 @@ def replicate(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def salted_join(many: DataFrame, few: DataFrame, keys: list[str], by: list[str | Column],
-                hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """Join on `keys` with the hot keys of `many` spread over several tasks."""
-    hot = count_hot_keys(many, keys) if hot is None else hot
+                hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Join on `keys` with the hot keys of `many` spread over several tasks by a hash of `by`."""
+    if hot is None:
+        return many.join(few, keys, how)
     left = spread(many, hot, keys, by)
     right = replicate(few, hot, keys)
     return left.join(right, [*keys, SALT], how).drop(SALT)
+
+
+def skew_join(many: DataFrame, few: DataFrame, keys: list[str], by: list[str | Column],
+              how: str = "inner") -> DataFrame:
+    """`salted_join` after counting the keys of `many`."""
+    return salted_join(many, few, keys, by, count_hot_keys(many, keys), how)

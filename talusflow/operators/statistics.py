@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talusflow.operators.indexing import moving
-from talusflow.operators.skew import hot_keys, salted_join
+from talusflow.operators.skew import hot_keys, salted_join, skew_join
 
 
 def noise_filter(df: DataFrame, sensor: str, order_by: list[str], value: str,
@@ -28,7 +28,7 @@ def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def with_group_stats(df: DataFrame, keys: list[str], value: str, by: list[str]) -> DataFrame:
     """Each row with the statistics of its group; very large groups are joined in parts."""
     stats = group_stats(df, keys, value)
-    return salted_join(df, stats, keys, by, hot=hot_keys(stats, keys, "n"))
+    return salted_join(df, stats, keys, by, hot_keys(stats, keys, "n"))
 
 
 def standardize(df: DataFrame, keys: list[str], value: str, by: list[str]) -> DataFrame:
@@ -85,7 +85,7 @@ def outlier_filter_iqr(df: DataFrame, sensor: str, value: str, by: list[str],
                        reach: float = 1.5) -> DataFrame:
     """Rows within `reach` interquartile ranges of their sensor's quartiles."""
     quartiles = exact_quantiles(df, [sensor], value, {"_q1": 0.25, "_q3": 0.75})
-    joined = salted_join(df, quartiles, [sensor], by)
+    joined = skew_join(df, quartiles, [sensor], by)
     margin = (F.col("_q3") - F.col("_q1")) * reach
     return joined.where(
         F.col(value).between(F.col("_q1") - margin, F.col("_q3") + margin)

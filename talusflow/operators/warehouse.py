@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talusflow.operators.indexing import first_per_key, with_row_index
 from talusflow.operators.reshape import soil_layers
-from talusflow.operators.skew import salted_join
+from talusflow.operators.skew import skew_join
 from talusflow.schemas import BLOCK_KEYS, COORD, DEPTHS, HOURS, METRIC_NAMES, WAREHOUSE
 
 PLACE = ["longitude", "latitude"]
@@ -30,7 +30,7 @@ def location_lookup(points: DataFrame, locations: DataFrame, by: list[str]) -> D
     """
     known = locations.groupBy(*PLACE).agg(F.min("location_id").alias("location_id"))
     typed = points.withColumns({c: F.col(c).cast(COORD) for c in PLACE})
-    return salted_join(typed, known, PLACE, by, how="left")
+    return skew_join(typed, known, PLACE, by, how="left")
 
 
 def new_locations(points: DataFrame, locations: DataFrame, order_by: list[str]) -> DataFrame:
