@@ -33,7 +33,8 @@ def onehot_depth(soil: DataFrame) -> DataFrame:
 def pivot_soil(soil: DataFrame, floor_zero: bool = False) -> DataFrame:
     """One row per fact with a column per (measure, layer), as partial and final maxima.
 
-    A layer without a row is NULL. With `floor_zero` it is 0, and so is every value below 0.
+    A layer without a row is NULL. With `floor_zero` it is 0, and the zeros that the other layers'
+    rows put into a column also replace its values below 0.
     """
     columns = _layer_columns(floor_zero)
     return soil.groupBy("weather_data_id").agg(

@@ -75,7 +75,8 @@ def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None
     existing = existing or {
         name: _empty(staged.sparkSession, name) for name in ("location", "landslide_event")
     }
-    blocks = with_row_index(first_of_block(staged), BLOCK_KEYS, "event_id", start=1).withColumn(
+    first = first_of_block(staged.drop(*METRIC_NAMES))
+    blocks = with_row_index(first, BLOCK_KEYS, "event_id", start=1).withColumn(
         "event_id", F.col("event_id") + _highest(existing["landslide_event"], "event_id")
     )
     added = new_locations(blocks, existing["location"], ["event_id"])

@@ -153,8 +153,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event block, before its hours."""
-    return table(spark, sf_dir, "events").where(IS_EVENT).selectExpr(*BLOCK)
+    """One row per event block, before its hours; spread out, since each row grows 24-fold."""
+    return table(spark, sf_dir, "events").where(IS_EVENT).selectExpr(*BLOCK).repartition("id")
 
 
 def block_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
