@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talusflow.functions.vectors import assemble_features
 from talusflow.operators import catalogue as cat
@@ -18,6 +19,7 @@ from talusflow.operators.warehouse import load_star, without_loaded
 from talusflow.schemas import (
     BLOCK_KEYS,
     COORD,
+    EVENT_KEYS,
     METRICS,
     REGIONS,
     RULES,
@@ -25,7 +27,7 @@ from talusflow.schemas import (
     Region,
 )
 from talusflow.session import shared_path
-from talusflow.sources.sinks import save_model, table_exists, write_csv
+from talusflow.sources.sinks import path_exists, save_model, write_csv
 
 
 def enrich_with_observations(records: DataFrame, observations: DataFrame) -> DataFrame:
@@ -46,6 +48,14 @@ def enrich_with_observations(records: DataFrame, observations: DataFrame) -> Dat
                                "size": F.col("landslide_size"), "timezone": F.lit("UTC")})
 
 
+def _earlier(spark: SparkSession, warehouse: str, table: str, schema: T.StructType,
+             load_id: str) -> DataFrame:
+    """The rows of all other loads; the folder of this load is not read."""
+    with_load = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+    rows = spark.read.schema(with_load).parquet(f"{warehouse}/{table}")
+    return rows.where(F.col("load_id") != load_id).select(*schema.fieldNames())
+
+
 def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
                   observations: DataFrame, country_dim: DataFrame, warehouse: str,
                   load_id: str) -> dict[str, str]:
@@ -62,14 +72,11 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
     good, bad = split_quarantine(cat.stage_rows(hourly), RULES["staged_hour"])
 
     existing = None
-    if table_exists(spark, f"{warehouse}/event_keys"):
-        before = {
-            name: spark.read.parquet(f"{warehouse}/{name}").where(F.col("load_id") != load_id)
-            for name in [*WAREHOUSE, "event_keys"]
-        }
+    if path_exists(spark, f"{warehouse}/event_keys"):
+        before = {name: _earlier(spark, warehouse, name, schema, load_id)
+                  for name, schema in {**WAREHOUSE, "event_keys": EVENT_KEYS}.items()}
         good = without_loaded(good, before["event_keys"])
-        existing = {name: before[name].select(*schema.fieldNames())
-                    for name, schema in WAREHOUSE.items()}
+        existing = before
 
     staged_path = shared_path(spark, "staged")
     good.write.parquet(staged_path)
@@ -79,9 +86,7 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{warehouse}/{name}"
-        typed = df.withColumn("load_id", F.lit(load_id))
-        (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_id").parquet(paths[name]))
+        df.write.mode("overwrite").parquet(f"{paths[name]}/load_id={load_id}")
     return paths
 
 

@@ -141,6 +141,12 @@ STAGED_HOUR = T.StructType(
 )
 BLOCK_KEYS = ["source", "id", "is_control"]
 
+# The log of loaded blocks and the keys they were given.
+EVENT_KEYS = _struct(
+    source=T.StringType(), id=T.LongType(), is_control=T.BooleanType(), event_id=T.LongType(),
+    location_id=T.LongType(), datetime_id=T.LongType(),
+)
+
 
 @dataclass(frozen=True)
 class TableRules:

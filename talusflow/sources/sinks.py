@@ -19,11 +19,10 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
     df.write.mode(mode).partitionBy(*partition_by).json(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write lies at the path."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something lies at the path, on whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def append_new(df: DataFrame, path: str, keys: list[str],
@@ -34,7 +33,7 @@ def append_new(df: DataFrame, path: str, keys: list[str],
     """
     spark = df.sparkSession
     rows = df.dropDuplicates(keys)
-    if table_exists(spark, path):
+    if path_exists(spark, path):
         present = spark.read.schema(
             T.StructType([f for f in df.schema.fields if f.name in keys])
         ).parquet(path)
