@@ -130,27 +130,22 @@ def hour_slots(hours: DataFrame, keys: list[str], metrics: list[str],
     per key into the only shuffle, and no list is gathered. Missing values get `fill`; with
     `fill='mean'` the mean of the key's own values (0 when it has none).
     """
-    row = F.struct(F.col(order), *[F.col(m).cast("double").alias(m) for m in metrics])
-    names = [f"_hour_{h}" for h in range(n_hours)]
-    slots = (
-        hours.select(*keys, hour, row.alias("_row"))
-        .groupBy(*keys)
-        .agg(*[F.min(F.when(F.col(hour) == h, F.col("_row"))).alias(name)
-               for h, name in enumerate(names)])
+    values = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics)
+    slots = ", ".join(f"min(CASE WHEN {hour} = {h} THEN _row END)" for h in range(n_hours))
+    days = (
+        hours.selectExpr(*keys, hour, f"struct({order} AS _order, {values}) AS _row")
+        .groupBy(*keys).agg(F.expr(f"array({slots})").alias("_slots"))
+        .selectExpr(*keys, "_slots", "size(array_compact(_slots)) AS n_hours")
     )
-
-    def column(metric: str) -> Column:
-        if fill != "mean":
-            return F.array(*[F.coalesce(F.col(n)[metric], F.lit(float(fill))) for n in names])
-        values = F.array(*[F.col(n)[metric] for n in names])
-        known = F.array_compact(values)
-        total = F.aggregate(known, F.lit(0.0), lambda acc, v: acc + v)
-        mean = F.coalesce(F.try_divide(total, F.size(known)), F.lit(0.0))
-        return F.transform(values, lambda v: F.coalesce(v, mean))
-
-    present = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
-    return slots.select(*keys, present.alias("n_hours"),
-                        *[column(m).alias(sequence_name(m)) for m in metrics])
+    if fill == "mean":
+        known = {m: f"array_compact(_slots.{m})" for m in metrics}
+        days = days.selectExpr("*", *[
+            f"coalesce(try_divide(aggregate({k}, 0D, (total, v) -> total + v), size({k})), 0D) "
+            f"AS _mean_{m}" for m, k in known.items()])
+    default = {m: f"_mean_{m}" if fill == "mean" else f"{float(fill)!r}D" for m in metrics}
+    return days.selectExpr(*keys, "n_hours", *[
+        f"transform(_slots, slot -> coalesce(slot.{m}, {default[m]})) AS {sequence_name(m)}"
+        for m in metrics])
 
 
 def event_sequences(labelled: DataFrame, facts: DataFrame, fill: float | str = 0.0) -> DataFrame:
