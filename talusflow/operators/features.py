@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,10 +71,10 @@ def label_of(landslide_type: str = "landslide_type") -> Column:
     return F.when(F.col(landslide_type).isNotNull(), 1).otherwise(0)
 
 
-def label_events(events: DataFrame, times: DataFrame) -> DataFrame:
-    """Events with their day and label."""
+def label_events(events: DataFrame, times: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Events with their day and label; `keep` names further columns to carry along."""
     return join_datetime(events, times, with_time=False).select(
-        "event_id", "landslide_type", "size", *DAY_KEYS, label_of().alias("label")
+        "event_id", "landslide_type", "size", *DAY_KEYS, label_of().alias("label"), *keep
     )
 
 
@@ -148,15 +150,16 @@ def hour_slots(hours: DataFrame, keys: list[str], metrics: list[str],
         for m in metrics])
 
 
-def event_sequences(labelled: DataFrame, facts: DataFrame, fill: float | str = 0.0) -> DataFrame:
-    """One row per event: label and twelve sequences of 24 hours.
+def event_sequences(labelled: DataFrame, facts: DataFrame, fill: float | str = 0.0,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """One row per event: label, the columns in `keep`, and twelve sequences of 24 hours.
 
     The sequences belong to a location and day, so they are packed once and joined to the events
     of that day. Days on which very many events fall are packed under several salts, so that
     their events spread over as many tasks.
     """
     timed = facts.withColumn("hour", hour_of("time", facts.schema["time"].dataType))
-    events = labelled.select("event_id", "label", *DAY_KEYS)
+    events = labelled.select("event_id", "label", *keep, *DAY_KEYS)
     keys = DAY_KEYS
     hot = count_hot_keys(events, DAY_KEYS)
     if hot is not None:

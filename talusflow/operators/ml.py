@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from talusflow.operators.regions import filter_region
+from talusflow.operators.regions import assign_region, filter_region
 from talusflow.schemas import (
     LOGREG_PARAMS,
     REGIONS,
@@ -99,15 +99,24 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
 
 def score_regions(features: DataFrame, models: dict[str, PipelineModel],
                   regions: Sequence[Region] = REGIONS) -> DataFrame | None:
-    """Each row scored by the model of its region; rows outside all boxes are not scored."""
-    result = None
-    for region in regions:
-        if region.name not in models:
-            continue
-        part = score(filter_region(features, region), models[region.name]).withColumn(
-            "region", F.lit(region.name))
-        result = part if result is None else result.unionByName(part)
-    return result
+    """Each row scored by the model of its region; rows outside all boxes are not scored.
+
+    The features are read once: every model scores the routed rows, and each row keeps the score
+    of its own region. One more dot product per region is cheaper than a second feature plan.
+    """
+    served = [r for r in regions if r.name in models]
+    if not served:
+        return None
+    routed = assign_region(features, served)
+    for i, region in enumerate(served):
+        routed = score(routed, models[region.name]).withColumnsRenamed(
+            {"probability": f"_probability_{i}", "prediction": f"_prediction_{i}"})
+
+    def own(column: str) -> Column:
+        return F.coalesce(*[F.when(F.col("region") == r.name, F.col(f"_{column}_{i}"))
+                            for i, r in enumerate(served)]).alias(column)
+
+    return routed.select(*features.columns, "region", own("probability"), own("prediction"))
 
 
 def join_scores(scores: DataFrame, metadata: DataFrame, key: str = "Index") -> DataFrame:

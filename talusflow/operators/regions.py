@@ -21,6 +21,15 @@ def in_box(region: Region, longitude: str = "longitude", latitude: str = "latitu
             & (lat > region.min_latitude) & (lat < region.max_latitude))
 
 
+def in_any_box(regions: Sequence[Region] = REGIONS, longitude: str = "longitude",
+               latitude: str = "latitude", inclusive: bool = True) -> Column:
+    """Whether a point lies in at least one of the boxes."""
+    inside = F.lit(False)
+    for region in regions:
+        inside = inside | in_box(region, longitude, latitude, inclusive)
+    return inside
+
+
 def filter_region(df: DataFrame, region: Region, inclusive: bool = True,
                   longitude: str = "longitude", latitude: str = "latitude") -> DataFrame:
     """Rows inside one box."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talusflow.functions.vectors import assemble_features, feature_array, vectorise, sequence_name
+from talusflow.functions.vectors import feature_array, sequence_name, vectorise
 from talusflow.operators import features as feat
 from talusflow.operators import regions as reg
 from talusflow.operators.ml import join_scores
@@ -319,9 +319,3 @@ def score_outer_join(spark, sf_dir):
     metadata = feat.outline_metadata(
         proxy.points(spark, sf_dir).where(F.col("temperature_2m") > 20))
     return join_scores(scores, metadata)
-
-
-def train_vectors(spark, sf_dir):
-    """Event vectors with labels and coordinates, for the training queries."""
-    vectors = assemble_features(_sequences(spark, sf_dir)).select("event_id", "label", "features")
-    return feat.join_feature_event(vectors, _placed(spark, sf_dir))

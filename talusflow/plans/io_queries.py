@@ -7,8 +7,7 @@ from pyspark.sql import types as T
 
 from talusflow.operators import ml
 from talusflow.plans import proxy
-from talusflow.plans.feature_queries import train_vectors
-from talusflow.plans.jobs import score_points
+from talusflow.plans.jobs import score_points, training_features
 from talusflow.plans.registry import query
 from talusflow.schemas import CATALOGUE_RAW, WAREHOUSE
 from talusflow.session import shared_path
@@ -169,7 +168,7 @@ def stream_score(spark, sf_dir):
     path = shared_path(spark, "stream")
     landing = proxy.points(spark, sf_dir)
     landing.write.parquet(f"{path}/landing")
-    models = ml.train_per_region(train_vectors(spark, sf_dir))
+    models = ml.train_per_region(training_features(proxy.star(spark, sf_dir)))
     incoming = stream.read_points_stream(spark, f"{path}/landing", landing.schema, "parquet")
     _finish(stream.score_stream(incoming, lambda batch: score_points(batch, models),
                                 f"{path}/scores", f"{path}/state"))

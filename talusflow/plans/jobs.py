@@ -14,7 +14,7 @@ from talusflow.operators import catalogue as cat
 from talusflow.operators import features as feat
 from talusflow.operators import ml
 from talusflow.operators.quality import split_quarantine
-from talusflow.operators.regions import assign_region
+from talusflow.operators.regions import in_any_box
 from talusflow.operators.warehouse import load_star, without_loaded
 from talusflow.schemas import (
     BLOCK_KEYS,
@@ -94,15 +94,19 @@ def training_features(tables: dict[str, DataFrame], regions: Sequence[Region] =
                       fill: float | str = 0.0) -> DataFrame:
     """`event_id`, `label`, `features` and coordinates of the events inside the regions.
 
-    The boxes are applied to the events before any feature work.
+    The boxes are applied to the places before any feature work, so events and weather of other
+    places drop out before the joins on soil, time and day. The coordinates travel with their
+    event, which saves the join of finished features back to the events.
     """
-    coordinates = feat.join_event_location(tables["landslide_event"], tables["location"])
-    inside = assign_region(coordinates, regions).drop("region").distinct()
-    events = tables["landslide_event"].join(inside.select("event_id"), "event_id", "left_semi")
-    facts = feat.hourly_facts(tables["weather_data"], tables["soil"], tables["datetime"])
-    sequences = feat.event_sequences(feat.label_events(events, tables["datetime"]), facts, fill)
-    vectors = assemble_features(sequences).select("event_id", "label", "features")
-    return feat.join_feature_event(vectors, inside)
+    coordinates = ["longitude", "latitude"]
+    places = tables["location"].where(in_any_box(regions)).select("location_id", *coordinates)
+    events = tables["landslide_event"].join(places, "location_id")
+    weather = tables["weather_data"].join(places.select("location_id"), "location_id",
+                                          "left_semi")
+    facts = feat.hourly_facts(weather, tables["soil"], tables["datetime"])
+    labelled = feat.label_events(events, tables["datetime"], coordinates)
+    sequences = feat.event_sequences(labelled, facts, fill, coordinates)
+    return assemble_features(sequences).select("event_id", "label", "features", *coordinates)
 
 
 def run_training(spark: SparkSession, tables: dict[str, DataFrame], model_dir: str,

@@ -9,8 +9,7 @@ from talusflow.functions.text import tokens
 from talusflow.operators import ml
 from talusflow.operators.statistics import risk_trigger
 from talusflow.plans import proxy
-from talusflow.plans.feature_queries import train_vectors
-from talusflow.plans.jobs import score_points
+from talusflow.plans.jobs import score_points, training_features
 from talusflow.plans.registry import VIEWS, query
 from talusflow.session import shared_path
 from talusflow.sources.sinks import load_model, save_model
@@ -67,7 +66,7 @@ def train_logreg(spark, sf_dir):
 @query("train_per_region")
 def train_per_region(spark, sf_dir):
     """The events of each region under the model of their own region."""
-    features = train_vectors(spark, sf_dir)
+    features = training_features(proxy.star(spark, sf_dir))
     models = ml.train_per_region(features)
     scored = ml.score_regions(features, models)
     return scored.select("event_id", "region", "label", "probability", "prediction")
@@ -76,14 +75,14 @@ def train_per_region(spark, sf_dir):
 @query("score_region")
 def score_region(spark, sf_dir):
     """All points with their scores; points outside the regions have none."""
-    models = ml.train_per_region(train_vectors(spark, sf_dir))
+    models = ml.train_per_region(training_features(proxy.star(spark, sf_dir)))
     return score_points(proxy.points(spark, sf_dir), models)
 
 
 @query("sink_model")
 def sink_model(spark, sf_dir):
     """Scores of models that were saved and loaded again."""
-    features = train_vectors(spark, sf_dir)
+    features = training_features(proxy.star(spark, sf_dir))
     root = shared_path(spark, "models")
     models = ml.train_per_region(features)
     for name, model in models.items():

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans here have hundreds of columns; recording the call site of each one is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: dict[str, str] = {}
