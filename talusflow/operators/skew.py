@@ -38,13 +38,18 @@ def count_hot_keys(df: DataFrame, keys: list[str],
 
 
 def spread(df: DataFrame, hot: DataFrame, keys: list[str], by: list[str | Column]) -> DataFrame:
-    """Give each row of a hot key one of the key's salts, chosen by a hash of `by`."""
-    return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn(SALT, F.coalesce(F.pmod(F.xxhash64(*by), F.col("_salts")).cast("int"),
-                                     F.lit(0)))
-        .drop("_salts")
-    )
+    """Give each row of a hot key one of the key's salts, chosen by a hash of `by`.
+
+    Rows without a key match nothing, so an outer join may put them anywhere.
+    """
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    number = F.xxhash64(*by)
+    salt = F.coalesce(F.pmod(number, F.col("_salts")),
+                      F.when(no_key, F.pmod(number, F.lit(PARTS))), F.lit(0))
+    return df.join(F.broadcast(hot), keys, "left").withColumn(SALT, salt.cast("int")).drop(
+        "_salts")
 
 
 def replicate(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

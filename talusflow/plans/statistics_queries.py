@@ -11,7 +11,7 @@ from talusflow.plans.feature_queries import _facts
 from talusflow.plans.registry import query
 from talusflow.schemas import METRIC_NAMES
 
-CENTS = "CAST(value AS DECIMAL(12,2))"
+CENTS = "CAST(value AS DECIMAL(7,2))"
 
 
 def _readings(spark, sf_dir):
