@@ -141,13 +141,11 @@ def event_sequences(spark, sf_dir):
        + " FROM deduped GROUP BY event_id")
 def event_label(spark, sf_dir):
     sequences = _sequences(spark, sf_dir)
-    total = {
-        m: F.aggregate(sequence_name(m), F.lit(0).cast("decimal(18,3)"),
-                       lambda acc, v: (acc + v.cast("decimal(12,3)")).cast("decimal(18,3)"))
+    totals = [
+        f"round(aggregate({sequence_name(m)}, 0D, (total, v) -> total + v), 3) AS {m}"
         for m in METRIC_NAMES
-    }
-    return sequences.select("event_id", "label", "n_hours",
-                            *[value.alias(name) for name, value in total.items()])
+    ]
+    return sequences.selectExpr("event_id", "label", "n_hours", *totals)
 
 
 VECTOR_SQL = " UNION ALL ".join(
