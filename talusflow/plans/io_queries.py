@@ -7,15 +7,18 @@ from pyspark.sql import types as T
 
 from talusflow.operators import ml
 from talusflow.plans import proxy
-from talusflow.plans.jobs import score_points, training_features
-from talusflow.plans.registry import query
-from talusflow.schemas import CATALOGUE_RAW, WAREHOUSE
+from talusflow.plans.jobs import enrich_points, score_points, training_features
+from talusflow.plans.registry import VIEWS, query
+from talusflow.schemas import CATALOGUE_RAW, HOURLY_FILE, RAW_METRIC_NAMES, WAREHOUSE
 from talusflow.session import shared_path
 from talusflow.sources import files, sinks
 from talusflow.sources.warehouse import load_table
 from talusflow.streaming import points as stream
 
 RECORDS = "SELECT * FROM catalogue"
+POINT_PLACE = ("CAST(longitude_info AS DOUBLE) AS longitude_info, "
+               "CAST(latitude_info AS DOUBLE) AS latitude_info, CAST(date AS BIGINT) AS date, "
+               "CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month")
 
 
 @query("scan_warehouse",
@@ -36,6 +39,42 @@ def scan_csv_typed(spark, sf_dir):
     return good
 
 
+@query("scan_hourly_csv",
+       f'SELECT point_id AS "Index", {POINT_PLACE}, time, CAST(elevation AS BIGINT) AS elevation, '
+       f"strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime, {', '.join(RAW_METRIC_NAMES)} FROM points")
+def scan_hourly_csv(spark, sf_dir):
+    path = shared_path(spark, "csv")
+    sinks.write_csv(proxy.points(spark, sf_dir).select(*HOURLY_FILE.fieldNames()), path)
+    return files.split_corrupt(files.read_csv(spark, path, HOURLY_FILE))[0]
+
+
+VIEWS["outline"] = (
+    "SELECT longitude, latitude, year, month, date, '00:00:00' AS time, "
+    "row_number() OVER (ORDER BY longitude, latitude, year, month, date) - 1 AS point_index FROM "
+    f"(SELECT DISTINCT {proxy.LON} AS longitude, {proxy.LAT} AS latitude, "
+    "year(ts) AS year, month(ts) AS month, day(ts) AS date FROM events "
+    "WHERE event_type = 'purchase')")
+
+
+@query("weather_enrich",
+       'SELECT o.point_index AS "Index", CAST(o.longitude AS DOUBLE) AS longitude_info, '
+       "CAST(o.latitude AS DOUBLE) AS latitude_info, CAST(o.date AS BIGINT) AS date, "
+       "CAST(o.year AS BIGINT) AS year, CAST(o.month AS BIGINT) AS month, o.time, "
+       "CAST(p.elevation AS BIGINT) AS elevation, "
+       "strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS datetime, "
+       f"{', '.join(RAW_METRIC_NAMES)} FROM outline o JOIN points p "
+       "ON p.longitude_info = o.longitude AND p.latitude_info = o.latitude "
+       "AND p.year = o.year AND p.month = o.month AND p.date = o.date")
+def weather_enrich(spark, sf_dir):
+    """Each place and day with a purchase, with the observations of that place and day."""
+    outline = proxy.table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
+        f"{proxy.LON} AS longitude", f"{proxy.LAT} AS latitude", "year(ts) AS year",
+        "month(ts) AS month", "day(ts) AS date", "'00:00:00' AS time").distinct()
+    observations = proxy.points(spark, sf_dir).drop("year", "month", "date").withColumnsRenamed(
+        {"longitude_info": "longitude", "latitude_info": "latitude"})
+    return enrich_points(outline, observations)
+
+
 @query("scan_json_records", RECORDS)
 def scan_json_records(spark, sf_dir):
     """Lines that each hold an array of records."""

@@ -13,14 +13,17 @@ from talusflow.functions.vectors import assemble_features
 from talusflow.operators import catalogue as cat
 from talusflow.operators import features as feat
 from talusflow.operators import ml
+from talusflow.operators.indexing import with_row_index
 from talusflow.operators.quality import split_quarantine
 from talusflow.operators.regions import in_any_box
-from talusflow.operators.warehouse import load_star, without_loaded
+from talusflow.operators.warehouse import PLACE, load_star, without_loaded
 from talusflow.schemas import (
     BLOCK_KEYS,
     COORD,
     EVENT_KEYS,
+    HOURLY_FILE,
     METRICS,
+    RAW_METRIC_NAMES,
     REGIONS,
     RULES,
     WAREHOUSE,
@@ -30,22 +33,39 @@ from talusflow.session import shared_path
 from talusflow.sources.sinks import path_exists, save_model, write_csv
 
 
+def _stamped(observations: DataFrame) -> DataFrame:
+    """Observations (place, datetime, elevation, raw metrics) with exact place and day columns."""
+    return observations.select(
+        *[F.col(c).cast(COORD).alias(c) for c in PLACE],
+        F.year("datetime").alias("year"), F.month("datetime").alias("month"),
+        F.dayofmonth("datetime").alias("date"), "datetime", "elevation", *RAW_METRIC_NAMES)
+
+
+def _placed(records: DataFrame) -> DataFrame:
+    return records.withColumns({c: F.col(c).cast(COORD) for c in PLACE})
+
+
 def enrich_with_observations(records: DataFrame, observations: DataFrame) -> DataFrame:
-    """Catalogue records with the hourly rows of their place and day, in staging names.
+    """Catalogue records with the hourly rows of their place and day, in staging names."""
+    joined = feat.join_point_observation(_placed(records), _stamped(observations), BLOCK_KEYS,
+                                         "datetime", order="elevation")
+    return joined.withColumnsRenamed({
+        **{raw: name for name, raw in METRICS.items()},
+        "continentcode": "continent", "landslide_size": "size",
+    }).withColumn("timezone", F.lit("UTC"))
 
-    `observations` holds longitude, latitude, datetime, elevation and the raw metrics.
+
+def enrich_points(points: DataFrame, observations: DataFrame) -> DataFrame:
+    """Points to score with the hourly rows of their place and day: the rows of an hourly file.
+
+    `Index` numbers the points in the order of their place, day and time.
     """
-    stamped = observations.select(
-        *[F.col(c).cast(COORD).alias(c) for c in ("longitude", "latitude")],
-        F.year("datetime").alias("year"), F.month("datetime").alias("month"),
-        F.dayofmonth("datetime").alias("date"), "datetime", "elevation",
-        *[F.col(raw).alias(name) for name, raw in METRICS.items()],
-    )
-    placed = records.withColumns({c: F.col(c).cast(COORD) for c in ("longitude", "latitude")})
-    joined = feat.join_point_observation(placed, stamped, BLOCK_KEYS, "datetime",
+    numbered = with_row_index(_placed(points), [*PLACE, "year", "month", "date", "time"], "Index")
+    joined = feat.join_point_observation(numbered, _stamped(observations), ["Index"], "datetime",
                                          order="elevation")
-    return joined.withColumns({"continent": F.col("continentcode"),
-                               "size": F.col("landslide_size"), "timezone": F.lit("UTC")})
+    return joined.withColumnsRenamed(
+        {"longitude": "longitude_info", "latitude": "latitude_info"}
+    ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOURLY_FILE.fields])
 
 
 def _earlier(spark: SparkSession, warehouse: str, table: str, schema: T.StructType,
@@ -130,6 +150,12 @@ def score_points(hourly: DataFrame, models: dict[str, PipelineModel],
     return ml.join_scores(scored.select("Index", "region", "probability", "prediction"), metadata)
 
 
+def score_outline(points: DataFrame, observations: DataFrame, models: dict[str, PipelineModel],
+                  regions: Sequence[Region] = REGIONS) -> DataFrame:
+    """Arriving points to scores: enrich, pack, route by region, score."""
+    return score_points(enrich_points(points, observations), models, regions)
+
+
 def run_predicting(spark: SparkSession, hourly: DataFrame, models: dict[str, PipelineModel],
                    out: str, run_date: str, regions: Sequence[Region] = REGIONS) -> str:
     """Score the points and write CSV by region and day; points without a region have no score."""

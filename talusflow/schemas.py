@@ -117,6 +117,20 @@ CATALOGUE_RAW = _struct(
     latitude=T.DoubleType(), longitude=T.DoubleType(),
 )
 
+# Points to score as they arrive, and the hourly file that enrichment makes of them.
+POINT_RECORD = _struct(
+    latitude=T.DoubleType(), longitude=T.DoubleType(), year=T.IntegerType(),
+    month=T.IntegerType(), date=T.IntegerType(), country=T.StringType(), time=T.StringType(),
+)
+HOURLY_FILE = T.StructType([
+    *_struct(
+        Index=T.LongType(), longitude_info=T.DoubleType(), latitude_info=T.DoubleType(),
+        date=T.IntegerType(), year=T.IntegerType(), month=T.IntegerType(), time=T.StringType(),
+        datetime=T.TimestampType(), elevation=T.IntegerType(),
+    ).fields,
+    *[T.StructField(raw, T.DoubleType(), True) for raw in METRICS.values()],
+])
+
 # Hourly staging rows: one block of 24 per catalogue record, every column typed on entry.
 STAGED_HOUR = T.StructType(
     [

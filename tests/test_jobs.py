@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talusflow.plans import jobs
-from talusflow.schemas import METRICS, RAW_METRIC_NAMES, WAREHOUSE
+from talusflow.schemas import METRICS, POINT_RECORD, RAW_METRIC_NAMES, WAREHOUSE
 from talusflow.sources.sinks import load_model
 from talusflow.sources.warehouse import load_warehouse
 from talusflow.streaming import points as stream
@@ -97,6 +97,16 @@ def test_training_and_scoring(spark, warehouse, tmp_path):
     assert {r.region for r in scores.where("probability is not null").collect()} == {
         "asia_pacific", "america"}
 
+    outline = spark.createDataFrame(
+        [(lat, lon, 2022, 1, 1, country, "00:00:00") for _, country, lon, lat in PLACES],
+        POINT_RECORD)
+    seen = observations(spark, observation_rows(PLACES, [datetime(2022, 1, 1)]))
+    from_outline = jobs.score_outline(outline, seen, models)
+    want = jobs.score_points(hourly, models)
+    where = ["longitude_info", "latitude_info", "region", "probability"]
+    assert sorted(map(str, from_outline.select(*where).collect())) == sorted(
+        map(str, want.select(*where).collect()))
+
     landing = str(tmp_path / "landing")
     hourly.write.parquet(landing)
     incoming = stream.read_points_stream(spark, landing, hourly.schema, "parquet")
