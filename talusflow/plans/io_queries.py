@@ -153,7 +153,7 @@ def stream_dedup(spark, sf_dir):
     rows = _stream(spark, sf_dir).select("event_id", "event_type",
                                          F.col("ts").cast("timestamp").alias("ts"))
     twice = rows.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    unique = stream.dedup_stream(twice, ["event_id"], "ts").drop("delivery")
+    unique = stream.dedup_stream(twice, ["event_id"], "ts", spread=4).drop("delivery")
     _finish(stream.write_files(unique, f"{path}/rows", f"{path}/state"))
     return spark.read.schema("event_id long, event_type string, ts timestamp").parquet(
         f"{path}/rows")

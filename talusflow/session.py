@@ -39,7 +39,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="talusflow-"))
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="talusflow-")
+    return _local_dirs[context.applicationId]
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:

@@ -106,13 +106,14 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     assert run() == [1, 2, 3]
 
 
-def test_repeated_messages_are_dropped_across_batches(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 4])
+def test_repeated_messages_are_dropped_across_batches(spark, tmp_path, spread):
     at = "2024-01-01T00:00:00"
-    land(tmp_path / "in", "1.json", [{"id": 1, "ts": at}, {"id": 1, "ts": at}])
+    land(tmp_path / "in", "1.json", [{"id": 1, "ts": at}] * 50)
     land(tmp_path / "in", "2.json", [{"id": 1, "ts": "2024-01-01T00:10:00"}, {"id": 2, "ts": at}])
     df = stream.read_points_stream(spark, str(tmp_path / "in"), POINT, files_per_trigger=1)
     out = str(tmp_path / "out")
-    stream.write_files(stream.dedup_stream(df, ["id"], "ts"), out,
+    stream.write_files(stream.dedup_stream(df, ["id"], "ts", spread=spread), out,
                        str(tmp_path / "state")).awaitTermination()
     rows = spark.read.schema(POINT).parquet(out).collect()
     assert sorted(r.id for r in rows) == [1, 2]
