@@ -141,14 +141,13 @@ def risk_trigger_query(spark, sf_dir):
 
 
 @query("tokenize_lower",
-       "SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, "
+       "SELECT token, count(*) AS n FROM (SELECT "
        "unnest(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s')) AS token "
        "FROM documents) GROUP BY token")
 def tokenize_lower(spark, sf_dir):
-    words = proxy.table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(tokens("text")).alias("token"))
-    per_doc = words.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    words = proxy.table(spark, sf_dir, "documents").select(F.explode(tokens("text")).alias(
+        "token"))
+    return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("text_classifier")

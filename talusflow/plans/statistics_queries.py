@@ -76,7 +76,8 @@ LONG_METRICS = " UNION ALL ".join(
 
 @query("metric_statistics",
        "SELECT location_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, metric, "
-       "count(v) AS n, CAST(sum(CAST(v AS DECIMAL(18,3))) AS DOUBLE) / count(v) AS mean, round(stddev_samp(v), 6) AS stddev, "
+       "count(v) AS n, CAST(sum(CAST(v AS DECIMAL(18,3))) AS DOUBLE) / count(v) AS mean, "
+       "round(stddev_samp(v), 6) AS stddev, "
        "min(v) AS low, max(v) AS high, round(quantile_cont(v, 0.25), 6) AS q1, "
        "round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.75), 6) AS q3 "
        f"FROM ({LONG_METRICS}) WHERE v IS NOT NULL GROUP BY ALL")

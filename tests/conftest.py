@@ -11,7 +11,8 @@ from talusflow.session import build_session  # noqa: E402
 def make_session():
     spark = build_session("tests", **{
         "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
-        "spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
     spark.sparkContext.setLogLevel("ERROR")

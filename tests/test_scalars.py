@@ -66,7 +66,8 @@ def test_nan_becomes_null_only_as_a_whole(spark):
 
 
 @pytest.mark.parametrize("value,kind,want", [
-    (87.6, T.ShortType(), 88), (-0.5, T.ShortType(), -1), (87.005, T.DecimalType(5, 2), Decimal("87.01")),
+    (87.6, T.ShortType(), 88), (-0.5, T.ShortType(), -1),
+    (87.005, T.DecimalType(5, 2), Decimal("87.01")),
     (1.123456784, T.DecimalType(11, 8), Decimal("1.12345678")),
     (1.123456779, T.DecimalType(11, 8), Decimal("1.12345678")),
     (1000.0, T.DecimalType(5, 2), None), (40000.0, T.ShortType(), None),

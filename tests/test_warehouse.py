@@ -130,7 +130,8 @@ def test_country_fallbacks(spark):
 
 
 def test_arrays_to_rows_and_soil_layers(spark):
-    df = spark.createDataFrame([(1, [1.0, 2.0], [3.0, 4.0])], "id long, a array<double>, b array<double>")
+    df = spark.createDataFrame([(1, [1.0, 2.0], [3.0, 4.0])],
+                               "id long, a array<double>, b array<double>")
     df = df.withColumns({"start": F.to_timestamp(F.lit("2024-01-01 05:00:00")),
                          "end": F.to_timestamp(F.lit("2024-01-01 07:00:00"))})
     rows = [(r.datetime.hour, r.a, r.b) for r in explode_hourly(df, ["id"], ["a", "b"]).collect()]
