@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talusflow.llm import mixing, personal_data, url_rules
+from talusflow.llm import (
+    mixing,
+    near_duplicates,
+    packing,
+    personal_data,
+    topk_search,
+    url_rules,
+    vector_duplicates,
+    warc,
+)
 from talusflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +83,35 @@ FROM q LEFT JOIN (SELECT DISTINCT s, rank, upto, due FROM c) c ON q.s = c.s AND
 LEFT JOIN n ON q.s = n.s""")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_vector_duplicates")
+def op5_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_duplicates.duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_topk_search")
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_warc", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM f""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
