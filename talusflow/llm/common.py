@@ -33,6 +33,44 @@ def crc_remainder(id_col: str, divisor: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(divisor)
 
 
+def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that are equal in the integer columns `by`; the rows come sorted by them."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        if not rows.num_rows:
+            continue
+        change = np.zeros(rows.num_rows - 1, dtype=bool)
+        for name in by:
+            values = rows.column(name).to_numpy()
+            change |= values[1:] != values[:-1]
+        cuts = np.r_[0, np.flatnonzero(change) + 1]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1])
+    if held is not None:
+        yield held
+
+
+def dealt_tiles(members: DataFrame, tile: int, *more: str) -> DataFrame:
+    """Buckets (key, node, n rows) dealt into tiles by hash: a row for each pair of tiles it is in.
+
+    `i` <= `j` name the pair, `side` the node's own tile. Rows of a pair end up together and in
+    order: partitioned and sorted by key, i, j.
+    """
+    return (
+        members.withColumn("_tiles", F.ceil(F.col("n") / tile).cast("int"))
+        .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_tiles")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+        .select("key", "node", *more, F.least("_own", "_other").alias("i"),
+                F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side")))
+
+
+def in_runs(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)

@@ -7,12 +7,11 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talusflow.llm.common import hashed_words, mixed, text_chunks, written
+from talusflow.llm.common import dealt_tiles, hashed_words, in_runs, mixed, runs, text_chunks, written
 from talusflow.llm.components import connected
 
 
@@ -84,7 +83,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
                 if len(s) > 1:
                     s = s[np.r_[True, s[1:] != s[:-1]]]
             elif b > a:
-                s = mixed(np.array([(hashes[a:b] * steps[:b - a]).sum(dtype=np.uint64) + short[b - a]]))
+                s = mixed((hashes[a:b] * steps[:b - a]).sum(dtype=np.uint64, keepdims=True) + short[b - a:b - a + 1])
             else:
                 s = np.empty(0, np.uint64)
             sets.append(s)
@@ -200,40 +199,36 @@ def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method) -> Da
     `members` has key, node, root, n (bucket size). A bucket is dealt into tiles by hash and each
     pair of tiles is a group of its own. A pair is looked at in its first common band only.
     """
-    tiles = F.ceil(F.col("n") / method.tile).cast("int")
-    dealt = (
-        members.withColumn("_tiles", tiles)
-        .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_tiles")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-        .select("key", "node", "root", F.least("_own", "_other").alias("i"),
-                F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side"))
-        .join(signatures.select("node", "signature", "keys"), "node"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        i, j, key = group["i"].iat[0], group["j"].iat[0], group["key"].iat[0]
-        group = group.sort_values("node", kind="stable")
-        left = group if i == j else group[group["side"] == i]
-        right = group if i == j else group[group["side"] == j]
-        found = []
-        sides = []
-        for half in (left, right):
-            sides.append((half["node"].to_numpy(), half["root"].to_numpy(),
-                          np.frombuffer(b"".join(half["signature"]), "<u4").reshape(-1, method.size),
-                          np.frombuffer(b"".join(half["keys"]), "<i8").reshape(-1, method.bands)))
-        (ln, lr, ls, lk), (rn, rr, rs, rk) = sides
-        band = int(np.flatnonzero(lk[0] == key)[0]) if len(lk) else 0
-        for p in range(len(ln)):
-            other = rr != lr[p]
-            if i == j:
-                other[:p + 1] = False
-            at = np.flatnonzero(other)
-            at = at[~(rk[at, :band] == lk[p, :band]).any(axis=1)]
+    def pairs_of(group: pa.Table) -> Iterator[tuple[int, int]]:
+        i, j, key = (group.column(c)[0].as_py() for c in ("i", "j", "key"))
+        side = group.column("side").to_numpy()
+        node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
+        signature = _matrix(group.column("signature"), "<u4", method.size)
+        keys = _matrix(group.column("keys"), "<i8", method.bands)
+        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+        if not len(left) or not len(right):
+            return
+        band = int(np.flatnonzero(keys[left[0]] == key)[0])
+        for p in left:
+            at = right[(root[right] != root[p]) & ((i != j) | (right > p))]
+            at = at[~(keys[at, :band] == keys[p, :band]).any(axis=1)]
             if len(at):
-                alive = at[method.survivors(np.broadcast_to(ls[p], (len(at), method.size)), rs[at])]
-                found += [(int(ln[p]), int(n)) for n in rn[alive]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                alive = at[method.survivors(np.broadcast_to(signature[p], (len(at), method.size)), signature[at])]
+                yield from ((int(node[p]), int(n)) for n in node[alive])
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for group in runs(batches, ["key", "i", "j"]):
+            found += pairs_of(group)
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    dealt = dealt_tiles(members, method.tile, "root").join(signatures.select("node", "signature", "keys"), "node")
+    return in_runs(dealt).mapInArrow(run, "a long, b long").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -271,7 +266,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = written(connected(links), "neardup-roots")
     rooted = written(members.join(roots, "node", "left").select(
         "key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-rooted")
-    open_keys = written(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    # A bucket of two holds no other pair than its star.
+    open_keys = written(rooted.where("n > 2").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
                         .where("x != y").select("key"), "neardup-open")
     rest = written(_tile_pairs(rooted.join(open_keys, "key"), signatures, method).join(
         stars, ["a", "b"], "left_anti").distinct(), "neardup-rest")

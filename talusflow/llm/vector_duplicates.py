@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from math import ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talusflow.llm.common import mixed, written
+from talusflow.llm.common import dealt_tiles, in_runs, mixed, runs, written
 from talusflow.llm.components import connected
 from talusflow.llm.near_duplicates import _binary
 from talusflow.llm.vectors import vector_rows
@@ -31,11 +30,11 @@ def collision(distance: float, width: float = _WIDTH) -> float:
 def table_plan(rows: int, cosine: float, miss: float) -> tuple[int, int]:
     """Projections per table and tables.
 
-    Projections follow the number of rows so that an unrelated vector shares a bucket with about
-    one other; tables follow so that a pair at the threshold is missed with probability `miss`.
+    Projections follow the number of rows so that a bucket holds about a twentieth of an unrelated
+    vector; tables follow so that a pair at the threshold is missed with probability `miss`.
     """
     near, far = collision(sqrt(2 - 2 * cosine)), collision(sqrt(2))
-    projections = max(4, ceil(log(max(rows, 2)) / log(1 / far)))
+    projections = max(4, ceil(log(20 * max(rows, 2)) / log(1 / far)))
     return projections, ceil(log(miss) / log(1 - near**projections))
 
 
@@ -74,54 +73,57 @@ def _tile_links(members: DataFrame, points: DataFrame, cosine: float, tables: in
     A bucket is dealt into tiles by hash and each pair of tiles is one group: a product of two
     small matrices. A pair counts in its first common table only. No pair leaves the task.
     """
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    dealt = (
-        members.withColumn("_tiles", tiles)
-        .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_tiles")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-        .select("key", "node", F.least("_own", "_other").alias("i"),
-                F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side"))
-        .join(points, "node"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        i, j, key = group["i"].iat[0], group["j"].iat[0], group["key"].iat[0]
-        sides = []
-        for side in (i, j):
-            half = group[group["side"] == side]
-            width = max((len(u) for u in half["unit"]), default=0) // 8
-            units = np.zeros((len(half), width))
-            for r, u in enumerate(half["unit"]):
-                units[r, :len(u) // 8] = np.frombuffer(u, "<f8")
-            sides.append((half["node"].to_numpy(), half["weight"].to_numpy(), units,
-                          np.frombuffer(b"".join(half["keys"]), "<i8").reshape(-1, tables)))
-        (ln, lw, lu, lk), (rn, rw, ru, rk) = sides
-        if not len(ln) or not len(rn):
-            return pd.DataFrame({"node": [], "links": [], "low": []}, dtype="int64")
-        width = min(lu.shape[1], ru.shape[1])
-        linked = lu[:, :width] @ ru[:, :width].T >= cosine
-        linked &= ln[:, None] != rn[None, :]
-        band = int(np.flatnonzero(lk[0] == key)[0])
-        for t in range(band):
-            linked &= lk[:, t][:, None] != rk[:, t][None, :]
+    def units_of(values: list[bytes]) -> np.ndarray:
+        out = np.zeros((len(values), max(len(v) for v in values) // 8))
+        for r, v in enumerate(values):
+            out[r, :len(v) // 8] = np.frombuffer(v, "<f8")
+        return out
+
+    def sums_of(group: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        i, j, key = (group.column(c)[0].as_py() for c in ("i", "j", "key"))
+        side, node = group.column("side").to_numpy(), group.column("node").to_numpy()
+        weight = group.column("weight").to_numpy()
+        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+        if not len(left) or not len(right) or len(node) < 2:
+            return []
+        units = units_of(group.column("unit").to_pylist())
+        keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), "<i8").reshape(-1, tables)
+        linked = units[left] @ units[right].T >= cosine
+        if i == j:
+            np.fill_diagonal(linked, False)
+        if not linked.any():
+            return []
+        for t in range(int(np.flatnonzero(keys[0] == key)[0])):
+            linked &= keys[left, t][:, None] != keys[right, t][None, :]
         # Components inside the group: the smallest node that each one reaches.
-        roots = pd.Series(np.r_[ln, rn], index=np.r_[ln, rn])
-        roots = roots[~roots.index.duplicated()]
+        roots, top = node.copy(), np.iinfo(np.int64).max
         while True:
-            left, right = roots[ln].to_numpy(), roots[rn].to_numpy()
-            top = np.iinfo(np.int64).max
-            new = pd.Series(np.r_[np.minimum(left, np.where(linked, right[None, :], top).min(axis=1)),
-                                  np.minimum(right, np.where(linked, left[:, None], top).min(axis=0))],
-                            index=np.r_[ln, rn]).groupby(level=0).min()
-            if (new == roots.reindex(new.index)).all():
+            before = roots.copy()
+            near = np.where(linked, roots[right][None, :], top).min(axis=1)
+            roots[left] = np.minimum(roots[left], near)
+            near = np.where(linked, roots[left][:, None], top).min(axis=0)
+            roots[right] = np.minimum(roots[right], near)
+            if (roots == before).all():
                 break
-            roots = new
-        out = [pd.DataFrame({"node": ln, "links": linked @ rw, "low": roots[ln].to_numpy()})]
+        out = [(node[left], linked @ weight[right], roots[left])]
         if i != j:
-            out.append(pd.DataFrame({"node": rn, "links": lw @ linked, "low": roots[rn].to_numpy()}))
-        found = pd.concat(out)
-        return found[found["links"] > 0].astype("int64")
+            out.append((node[right], weight[left] @ linked, roots[right]))
+        return [tuple(x[links > 0] for x in (n, links, low)) for n, links, low in out]
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(run, "node long, links long, low long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for group in runs(batches, ["key", "i", "j"]):
+            found += sums_of(group)
+            if len(found) > 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)],
+                                                 ["node", "links", "low"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)],
+                                             ["node", "links", "low"])
+
+    dealt = dealt_tiles(members, tile).join(points, "node")
+    return in_runs(dealt).mapInArrow(run, "node long, links long, low long")
 
 
 def duplicate_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
