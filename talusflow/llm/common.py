@@ -125,17 +125,18 @@ def text_chunks(column: pa.Array, budget: int = 1 << 20) -> Iterator[tuple[int,
         first = end
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def hashed_words(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()
+                 ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """64-bit hashes of the words of a run of texts, and each text's share of them.
 
-    Returns hashes, text bounds (len(offsets)), and byte starts and ends of the words. Letters A-Z
-    are lowered first. A hash is a polynomial of coded bytes modulo 2^64, mixed at the end, so all
+    Returns hashes, text bounds (len(offsets)), and for each length in `prefixes` the hashes of the
+    words' first bytes. Letters A-Z are lowered first. A hash is a polynomial of coded bytes modulo 2^64, mixed at the end, so all
     words of a run come from one running sum.
     """
     n = len(data)
     if n == 0:
-        empty = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), empty, empty
+        empty = np.empty(0, np.uint64)
+        return empty, np.zeros(len(offsets), np.int64), [empty] * len(prefixes)
     inside = np.empty(n + 1, dtype=bool)
     np.logical_not(_IS_SPACE[data], out=inside[:n])
     inside[n] = False
@@ -152,5 +153,20 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE_CODES[_LOWER[data]] * _powers(_POWER_STEP, n), out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * _powers(_INVERSE_STEP, n)[starts])
-    return hashes, np.searchsorted(starts, offsets), starts, ends
+    back = _powers(_INVERSE_STEP, n)[starts]
+    hashes = [mixed((sums[stop] - sums[starts]) * back)
+              for stop in (ends, *(np.minimum(starts + k, ends) for k in prefixes))]
+    return hashes[0], np.searchsorted(starts, offsets), hashes[1:]
+
+
+class Lookup:
+    """Rows of values by 64-bit key; keys that are not there get the default row."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, default: tuple[float, ...]):
+        order = np.argsort(keys)
+        self.keys = np.r_[keys[order], np.uint64(2**64 - 1)]
+        self.values = np.vstack([values[order].reshape(len(keys), len(default)), default]).astype(np.float32)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys[:-1], keys)
+        return self.values[np.where(self.keys[at] == keys, at, len(self.keys) - 1)]

@@ -19,30 +19,30 @@ from talusflow.llm.components import connected
 class Method:
     """Parameters of the search.
 
-    A pair at the threshold shares no band with probability (1 - threshold^rows)^bands, and is
-    pruned by its signature with probability of about `miss` per batch.
+    A pair at the threshold shares no band with probability (1 - threshold^rows)^bands. Its
+    signature of `hashes` values, of which one byte each is kept, is compared in batches, and the pair
+    goes when the posterior probability of reaching the threshold falls below `miss`.
     """
 
     words: int = 5
     percent: int = 75
     bands: int = 32
     rows: int = 4
-    batch: int = 16
-    miss: float = 1e-6
-    tile: int = 256
-
-    @property
-    def size(self) -> int:
-        return self.bands * self.rows
+    hashes: int = 512
+    batch: int = 32
+    miss: float = 5e-5
+    tile: int = 512
+    offers: tuple[int, ...] = (4,)
 
     def least_matches(self) -> list[tuple[int, int]]:
         """After n compared values, the fewest matches that leave the pair in the race.
 
         With a uniform prior, similarity given m of n matches is Beta(m + 1, n - m + 1); it reaches
-        the threshold with the probability that a binomial of n + 1 trials is at most m.
+        the threshold with the probability that a binomial of n + 1 trials is at most m. Bytes of
+        different values agree once in 256 times, which raises the threshold a little.
         """
-        t, out = self.percent / 100, []
-        for n in range(self.batch, self.size + 1, self.batch):
+        t, out = self.percent / 100 + (1 - self.percent / 100) / 256, []
+        for n in range(self.batch, self.hashes + 1, self.batch):
             below, m = 0.0, 0
             while m < n:
                 below += comb(n + 1, m) * t**m * (1 - t)**(n + 1 - m)
@@ -52,8 +52,8 @@ class Method:
             out.append((n, m))
         return out
 
-    def survivors(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rows whose signatures pass all bounds; compared batch by batch, losers leave at once."""
+    def survivors(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose signatures pass all bounds, and their matches; losers leave after each batch."""
         alive = np.arange(len(left))
         matches = np.zeros(len(left), dtype=np.int32)
         done = 0
@@ -63,7 +63,7 @@ class Method:
             alive, matches, done = alive[keep], matches[keep], n
             if not len(alive):
                 break
-        return alive
+        return alive, matches
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -71,7 +71,7 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray
     steps = np.random.default_rng(7 * words).integers(1, 2**62, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     short = np.random.default_rng(11).integers(1, 2**62, words + 1, dtype=np.uint64)
     for first, end, data, offsets in text_chunks(column):
-        hashes, bounds, _, _ = hashed_words(data, offsets)
+        hashes, bounds, _ = hashed_words(data, offsets)
         weighted = hashes[:max(len(hashes) - words + 1, 0)] * steps[0]
         for j in range(1, words):
             weighted = weighted + hashes[j:len(hashes) - words + 1 + j] * steps[j]
@@ -102,8 +102,8 @@ def _binary(rows: np.ndarray) -> pa.Array:
 def _signatures(rows: DataFrame, method: Method) -> DataFrame:
     """node, doc_id, n_shingles, a 128-bit mark of the whole set, signature, band keys."""
     draw = np.random.default_rng(20240301)
-    factors = draw.integers(0, 2**31, method.size, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    shifts = draw.integers(0, 2**32, method.size, dtype=np.uint32)
+    factors = draw.integers(0, 2**31, method.hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    shifts = draw.integers(0, 2**32, method.hashes, dtype=np.uint32)
     steps = draw.integers(1, 2**62, method.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,25 +112,26 @@ def _signatures(rows: DataFrame, method: Method) -> DataFrame:
                 n = len(bounds) - 1
                 sizes = np.diff(bounds)
                 full = np.flatnonzero(sizes)
-                signature = np.zeros((n, method.size), dtype=np.uint32)
+                signature = np.zeros((n, method.hashes), dtype=np.uint32)
                 marks = np.zeros((n, 2), dtype=np.uint64)
                 if len(full):
                     at = bounds[:-1][full]
                     small = (hashes >> np.uint64(32)).astype(np.uint32)
                     value = np.empty_like(small)
-                    for k in range(method.size):
+                    for k in range(method.hashes):
                         np.multiply(small, factors[k], out=value)
                         np.add(value, shifts[k], out=value)
                         signature[full, k] = np.minimum.reduceat(value, at)
                     marks[full, 0] = np.add.reduceat(hashes, at)
                     marks[full, 1] = np.add.reduceat(mixed(hashes), at)
-                lines = signature.reshape(n, method.bands, method.rows).astype(np.uint64)
+                lines = signature[:, :method.bands * method.rows].reshape(
+                    n, method.bands, method.rows).astype(np.uint64)
                 keys = mixed((lines * steps).sum(axis=2, dtype=np.uint64)
                              + mixed(np.arange(1, method.bands + 1, dtype=np.uint64)))
                 part = batch.slice(first, n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("doc_id"), pa.array(sizes.astype(np.int64)),
-                     _binary(marks), _binary(signature), _binary(keys)],
+                     _binary(marks), _binary((signature & np.uint32(255)).astype(np.uint8)), _binary(keys)],
                     ["node", "doc_id", "n_shingles", "mark", "signature", "keys"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -157,8 +158,8 @@ def _pruned(pairs: DataFrame, signatures: DataFrame, method: Method) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                alive = pa.array(method.survivors(_matrix(batch.column("sa"), "<u4", method.size),
-                                                  _matrix(batch.column("sb"), "<u4", method.size)))
+                alive = pa.array(method.survivors(_matrix(batch.column("sa"), "u1", method.hashes),
+                                                  _matrix(batch.column("sb"), "u1", method.hashes))[0])
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(alive), batch.column("b").take(alive)],
                                                  ["a", "b"])
     sides = signatures.select("node", "signature")
@@ -193,9 +194,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, method: Method) -> DataFrame:
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method) -> DataFrame:
+def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method, best: int | None) -> DataFrame:
     """Surviving pairs a, b of different components in buckets of any size, tile by tile.
 
+    With `best`, each node offers only so many of its pairs per tile, those with the most matches.
+
     `members` has key, node, root, n (bucket size). A bucket is dealt into tiles by hash and each
     pair of tiles is a group of its own. A pair is looked at in its first common band only.
     """
@@ -203,18 +206,37 @@ def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method) -> Da
         i, j, key = (group.column(c)[0].as_py() for c in ("i", "j", "key"))
         side = group.column("side").to_numpy()
         node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
-        signature = _matrix(group.column("signature"), "<u4", method.size)
+        signature = _matrix(group.column("signature"), "u1", method.hashes)
         keys = _matrix(group.column("keys"), "<i8", method.bands)
         left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
         if not len(left) or not len(right):
             return
         band = int(np.flatnonzero(keys[left[0]] == key)[0])
-        for p in left:
-            at = right[(root[right] != root[p]) & ((i != j) | (right > p))]
-            at = at[~(keys[at, :band] == keys[p, :band]).any(axis=1)]
-            if len(at):
-                alive = at[method.survivors(np.broadcast_to(signature[p], (len(at), method.size)), signature[at])]
-                yield from ((int(node[p]), int(n)) for n in node[alive])
+        open_pairs = root[left][:, None] != root[right][None, :]
+        if i == j:
+            open_pairs &= np.triu(np.ones_like(open_pairs), 1)
+        for t in range(band):
+            open_pairs &= keys[left, t][:, None] != keys[right, t][None, :]
+        # All pairs of the tile batch by batch, until what is left is few enough to be listed.
+        matches, done = np.zeros(open_pairs.shape, dtype=np.int16), 0
+        for n, least in method.least_matches():
+            if 50 * np.count_nonzero(open_pairs) < open_pairs.size:
+                break
+            for k in range(done, n):
+                matches += signature[left, k][:, None] == signature[right, k][None, :]
+            open_pairs &= matches >= least
+            done = n
+        x, y = (at.astype(np.int64) for at in np.nonzero(open_pairs))
+        if not len(x):
+            return
+        alive, matches = method.survivors(signature[left[x]], signature[right[y]])
+        x, y = x[alive], y[alive]
+        if best is not None:
+            order = np.lexsort((-matches, x))
+            first = np.searchsorted(x[order], x[order], side="left")
+            order = order[np.arange(len(order)) - first < best]
+            x, y = x[order], y[order]
+        yield from zip(node[left[x]].tolist(), node[right[y]].tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
@@ -236,9 +258,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Groups of near-duplicate texts: doc_id, n_shingles, component_id, kept, first_row.
 
     Documents with equal shingle sets are one class. Of the other classes, first each member of a
-    bucket meets the bucket's smallest one; what is linked by then needs no further look, and in
-    buckets that still hold several components all pairs between components are tried. Links are
-    confirmed on the full sets. `component_id` is the smallest id of the group, `kept` marks the
+    bucket meets the bucket's smallest one; what is linked by then needs no further look. In buckets
+    that still hold several components, pairs between components are tried: the likeliest ones of
+    each document first, then all that are left. Links are confirmed on the full sets. `component_id` is the smallest id of the group, `kept` marks the
     rows with that id, `first_row` just one row of each group.
 
     Null and blank texts have no shingles and are alone. A null id is never the smallest unless the
@@ -247,8 +269,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Written once, as a plan that is run again might number its rows in another way.
-    numbered = written(texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"),
-                       "neardup-texts")
+    return _grouped(written(texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"),
+                            "neardup-texts"), method)
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       method: Method = Method()) -> DataFrame:
+    """The documents with all their columns, one row of each group: with the smallest id."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("node"), F.col(id_col).alias("doc_id"),
+                                   F.col(text_col).cast("string").alias("text"), row), "neardup-texts")
+    first = _grouped(numbered.select("node", "doc_id", "text"), method).where("first_row")
+    return numbered.select("node", "_row").join(first.select("node"), "node", "left_semi").select("_row.*")
+
+
+def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
     rows = written(_signatures(numbered, method), "neardup-rows")
 
     marks = written(rows.where("n_shingles > 0").groupBy("n_shingles", "mark").agg(
@@ -263,16 +298,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .distinct(), "neardup-stars")
     links = written(_confirmed(written(_pruned(stars, signatures, method), "neardup-likely"),
                                numbered, method), "neardup-links")
-    roots = written(connected(links), "neardup-roots")
-    rooted = written(members.join(roots, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-rooted")
-    # A bucket of two holds no other pair than its star.
-    open_keys = written(rooted.where("n > 2").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                        .where("x != y").select("key"), "neardup-open")
-    rest = written(_tile_pairs(rooted.join(open_keys, "key"), signatures, method).join(
-        stars, ["a", "b"], "left_anti").distinct(), "neardup-rest")
-    more = written(_confirmed(rest, numbered, method), "neardup-more")
-    roots = written(connected(links.union(more)), "neardup-final")
+    tried = stars
+    for best in (*method.offers, None):
+        roots = written(connected(links), "neardup-roots")
+        rooted = members.where("n > 2").join(roots, "node", "left").select(
+            "key", "node", "n", F.coalesce("root", "node").alias("root"))
+        # A bucket of two held no other pair than its star; one with a single root is done.
+        rooted = written(rooted, "neardup-rooted")
+        open_keys = written(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                            .where("x != y").select("key"), "neardup-open")
+        rest = written(_tile_pairs(rooted.join(open_keys, "key"), signatures, method, best).join(
+            tried, ["a", "b"], "left_anti").distinct(), "neardup-rest")
+        tried = tried.union(rest)
+        links = links.union(written(_confirmed(rest, numbered, method), "neardup-more"))
+    roots = written(connected(links), "neardup-final")
 
     # Every class hangs on its root, every row on its class.
     named = marks.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select(

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talusflow.llm import (
+    language_model,
     mixing,
     near_duplicates,
     packing,
     personal_data,
     topk_search,
+    toxicity,
     url_rules,
     vector_duplicates,
     warc,
@@ -115,3 +117,13 @@ SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_language_model")
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_language(table(spark, sf_dir, "documents"))
