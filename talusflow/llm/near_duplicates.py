@@ -31,7 +31,7 @@ class Method:
     hashes: int = 512
     batch: int = 32
     miss: float = 5e-5
-    tile: int = 512
+    tile: int = 1024
     offers: tuple[int, ...] = (4,)
 
     def least_matches(self) -> list[tuple[int, int]]:
