@@ -18,7 +18,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-_CACHE_WORDS = 300_000  # kept between texts; a full cache is emptied
+_CACHE_WORDS = 1_200_000  # kept between texts; a full cache is emptied
 
 
 class TextIds:
