@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,12 +42,12 @@ class TextIds:
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
         known = self.known
-        new = list({w for text in words for w in text if w not in known})
+        new = list(set().union(*words).difference(known))
         for first in range(0, len(new), 10_000):
             part = new[first:first + 10_000]
             for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in text]) + self.end for text in words]
+                known[word] = array("I", code.ids).tobytes()
+        return [b"".join(map(known.__getitem__, text)) + self.end for text in words]
 
 
 class SquaresPacker:
