@@ -97,7 +97,7 @@ class LogBilinear:
     def contexts(self, classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes one and two before each token; the end class stands before a text."""
         one = np.r_[0, classes[:-1]]
-        two = np.r_[0, 0, classes[:-2]]
+        two = np.r_[0, 0, classes][:len(classes)]
         starts = bounds[:-1]
         one[starts] = 0
         two[starts] = 0
