@@ -63,7 +63,7 @@ def to_schema(value: str | Column, kind: T.DataType) -> Column:
     """
     column = _col(value)
     if isinstance(kind, (T.ShortType, T.IntegerType, T.LongType)):
-        return F.round(column.try_cast("decimal(20,6)"), 0).try_cast(kind)
+        return F.round(column.try_cast("decimal(38,18)"), 0).try_cast(kind)
     return column.try_cast(kind)
 
 

@@ -149,5 +149,5 @@ def area_under_roc(scores: DataFrame, label: str = "label", probability: str = "
                    ) -> float:
     """Area under the ROC curve of the scores."""
     return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=probability, metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol=probability, metricName="areaUnderROC", numBins=0
     ).evaluate(scores)

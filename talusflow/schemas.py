@@ -46,7 +46,7 @@ COUNTRY_ALIASES = {
 UNKNOWN_COUNTRY = "Unknown"
 
 DATE_PATTERN = "M/d/yyyy"
-TIME_PATTERN = "H:mm:ss"
+TIME_PATTERN = "H:m:s"
 
 # Classifier settings.
 LOGREG_PARAMS = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}

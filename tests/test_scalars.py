@@ -97,3 +97,15 @@ def test_tokens_agree_with_the_ml_tokenizer(spark):
     ours = values(df.select(tokens("t").alias("v")))
     theirs = values(Tokenizer(inputCol="t", outputCol="v").transform(df))
     assert ours == theirs
+
+
+def test_long_ids_and_short_times_survive(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from talusflow.functions.scalars import parse_time, to_schema
+
+    row = spark.createDataFrame([(9223372036854775807, "5:7:9", 0.4999999)], "id long, t string, x double").select(
+        to_schema("id", T.LongType()).alias("id"), parse_time("t").alias("t"),
+        to_schema(F.col("x"), T.IntegerType()).alias("x")).first()
+    assert (row.id, row.t, row.x) == (9223372036854775807, "05:07:09", 0)
