@@ -85,13 +85,14 @@ def outer_merge_id(dates: DataFrame, locations: DataFrame, hazards: DataFrame) -
 def with_country_code(df: DataFrame, country_dim: DataFrame,
                       aliases: Mapping[str, str] = COUNTRY_ALIASES,
                       country: str = "country") -> DataFrame:
-    """Add `country_code`: by official name, else by alias, else 'Unknown'.
+    """Add `country_code`: by official name (of repeated ones the lowest code), else by alias, else
+    'Unknown'.
 
     `country_dim` holds name and code. It gets no broadcast hint: the planner broadcasts it when
     its measured size allows, and otherwise shuffles with skew handling. The few aliases are
     constants of the expression.
     """
-    official = country_dim.select(F.col("name").alias(country), F.col("code").alias("_official"))
+    official = country_dim.groupBy(F.col("name").alias(country)).agg(F.min("code").alias("_official"))
     alias = F.lit(None).cast("string")
     for name, code in aliases.items():
         alias = F.when(F.col(country) == name, F.lit(code)).otherwise(alias)

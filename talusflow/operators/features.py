@@ -206,11 +206,11 @@ PLACE_DAY = ["longitude", "latitude", "year", "month", "date"]
 
 
 def join_point_observation(points: DataFrame, observations: DataFrame, by: list[str],
-                           time: str = "time", order: str = "fact_id") -> DataFrame:
+                           time: str = "time", order: Sequence[str] = ("fact_id",)) -> DataFrame:
     """Points with the hourly observations of their coordinates and day.
 
     An hour that was observed more than once counts once (lowest `order`). `by` spreads the
     points of a place and day that holds very many of them.
     """
-    lowest = first_per_key(observations, [*PLACE_DAY, time], [order])
+    lowest = first_per_key(observations, [*PLACE_DAY, time], list(order))
     return skew_join(points, lowest, PLACE_DAY, by)

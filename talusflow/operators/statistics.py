@@ -26,9 +26,9 @@ def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def with_group_stats(df: DataFrame, keys: list[str], value: str, by: list[str]) -> DataFrame:
-    """Each row with the statistics of its group; very large groups are joined in parts."""
+    """Each row with the statistics of its group (NULL without a key); very large groups are joined in parts."""
     stats = group_stats(df, keys, value)
-    return salted_join(df, stats, keys, by, hot_keys(stats, keys, "n"))
+    return salted_join(df, stats, keys, by, hot_keys(stats, keys, "n"), "left")
 
 
 def standardize(df: DataFrame, keys: list[str], value: str, by: list[str]) -> DataFrame:
@@ -48,7 +48,10 @@ def minmax_normalize(df: DataFrame, keys: list[str], value: str, by: list[str])
 
 def outlier_filter(df: DataFrame, sensor: str, value: str, by: list[str],
                    limit: float = 3.0) -> DataFrame:
-    """Rows within `limit` deviations of their sensor's mean (sensors without spread keep all)."""
+    """Rows within `limit` deviations of their sensor's mean.
+
+    Rows of sensors without spread, without a sensor or without a value are kept.
+    """
     joined = with_group_stats(df, [sensor], value, by)
     near = F.abs(F.col(value) - F.col("mean")) <= limit * F.col("stddev")
     return joined.where(F.coalesce(near, F.lit(True))).select(*df.columns)
@@ -83,13 +86,15 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
 
 def outlier_filter_iqr(df: DataFrame, sensor: str, value: str, by: list[str],
                        reach: float = 1.5) -> DataFrame:
-    """Rows within `reach` interquartile ranges of their sensor's quartiles."""
+    """Rows within `reach` interquartile ranges of their sensor's quartiles.
+
+    Rows without a sensor or a value are kept.
+    """
     quartiles = exact_quantiles(df, [sensor], value, {"_q1": 0.25, "_q3": 0.75})
-    joined = skew_join(df, quartiles, [sensor], by)
+    joined = skew_join(df, quartiles, [sensor], by, "left")
     margin = (F.col("_q3") - F.col("_q1")) * reach
-    return joined.where(
-        F.col(value).between(F.col("_q1") - margin, F.col("_q3") + margin)
-    ).select(*df.columns)
+    near = F.col(value).between(F.col("_q1") - margin, F.col("_q3") + margin)
+    return joined.where(F.coalesce(near, F.lit(True))).select(*df.columns)
 
 
 def metric_statistics(facts: DataFrame, keys: list[str], metrics: dict[str, str]) -> DataFrame:

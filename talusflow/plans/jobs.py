@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from talusflow.functions.scalars import to_schema
 from talusflow.functions.vectors import assemble_features
 from talusflow.operators import catalogue as cat
 from talusflow.operators import features as feat
@@ -31,14 +31,20 @@ from talusflow.schemas import (
 )
 from talusflow.session import shared_path
 from talusflow.sources.sinks import path_exists, save_model, write_csv
+from talusflow.sources.warehouse import finished_rows
 
 
 def _stamped(observations: DataFrame) -> DataFrame:
-    """Observations (place, datetime, elevation, raw metrics) with exact place and day columns."""
+    """Observations (place, datetime, elevation, raw metrics) with exact place, day and hour."""
     return observations.select(
         *[F.col(c).cast(COORD).alias(c) for c in PLACE],
         F.year("datetime").alias("year"), F.month("datetime").alias("month"),
-        F.dayofmonth("datetime").alias("date"), "datetime", "elevation", *RAW_METRIC_NAMES)
+        F.dayofmonth("datetime").alias("date"), F.date_trunc("hour", "datetime").alias("datetime"),
+        F.col("datetime").alias("_observed"), "elevation", *RAW_METRIC_NAMES)
+
+
+# Of the observations of one hour the first counts; of equally early ones the lowest values.
+_FIRST_OBSERVED = ("_observed", "elevation", *RAW_METRIC_NAMES)
 
 
 def _placed(records: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def _placed(records: DataFrame) -> DataFrame:
 def enrich_with_observations(records: DataFrame, observations: DataFrame) -> DataFrame:
     """Catalogue records with the hourly rows of their place and day, in staging names."""
     joined = feat.join_point_observation(_placed(records), _stamped(observations), BLOCK_KEYS,
-                                         "datetime", order="elevation")
+                                         "datetime", _FIRST_OBSERVED)
     return joined.withColumnsRenamed({
         **{raw: name for name, raw in METRICS.items()},
         "continentcode": "continent", "landslide_size": "size",
@@ -62,18 +68,41 @@ def enrich_points(points: DataFrame, observations: DataFrame) -> DataFrame:
     """
     numbered = with_row_index(_placed(points), [*PLACE, "year", "month", "date", "time"], "Index")
     joined = feat.join_point_observation(numbered, _stamped(observations), ["Index"], "datetime",
-                                         order="elevation")
+                                         _FIRST_OBSERVED)
     return joined.withColumnsRenamed(
         {"longitude": "longitude_info", "latitude": "latitude_info"}
     ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOURLY_FILE.fields])
 
 
-def _earlier(spark: SparkSession, warehouse: str, table: str, schema: T.StructType,
-             load_id: str) -> DataFrame:
-    """The rows of all other loads; the folder of this load is not read."""
-    with_load = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
-    rows = spark.read.schema(with_load).parquet(f"{warehouse}/{table}")
-    return rows.where(F.col("load_id") != load_id).select(*schema.fieldNames())
+def unobserved(records: DataFrame, observations: DataFrame) -> DataFrame:
+    """Records without a single observation at their place and day."""
+    days = _stamped(observations).select(*feat.PLACE_DAY).distinct()
+    return _placed(records).join(days, feat.PLACE_DAY, "left_anti")
+
+
+def split_repeated(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One record of each block, the lowest in its columns, and the others with their number `n_rows`.
+
+    Equal records are counted first, so copies of one block meet in one row. A record without a
+    source or an id belongs to no block and stays: the rules on staged rows send it to quarantine.
+    """
+    keyed = F.lit(True)
+    for key in BLOCK_KEYS:
+        keyed = keyed & F.col(key).isNotNull()
+    row = F.struct(*records.columns)
+    counted = records.where(keyed).groupBy(*records.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    first = counted.groupBy(*BLOCK_KEYS).agg(F.min(row).alias("_first"))
+    surplus = counted.join(first, BLOCK_KEYS).select(
+        *records.columns, (F.col("n_rows") - row.eqNullSafe(F.col("_first")).cast("long")).alias("n_rows"))
+    return (first.select("_first.*").unionByName(records.where(~keyed)),
+            surplus.where("n_rows > 0"))
+
+
+def _free_load_id(finished: DataFrame, load_id: str) -> str:
+    """The load id, or with a number behind it if that load is finished: it is never rewritten."""
+    runs = finished.where((F.col("load_id") == load_id) | F.col("load_id").startswith(f"{load_id}.run"))
+    taken = runs.select("load_id").distinct().count()
+    return f"{load_id}.run{taken + 1}" if taken else load_id
 
 
 def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
@@ -81,27 +110,38 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
                   load_id: str) -> dict[str, str]:
     """Catalogues to warehouse tables; returns the paths written.
 
-    Each load has its own folder per table and overwrites it when repeated; blocks of earlier
-    loads are left out. Undated records and rows that break a rule go to quarantine folders.
+    Each load has its own folder per table. `event_keys` is written last and marks the load as
+    finished: the folders of an unfinished load are ignored, and overwritten when it is repeated. A
+    finished load stays as it is, with its keys; repeating it adds the blocks that no load has
+    taken, in a folder of its own. Undated, unobserved and repeated records and rows that break a
+    rule go to quarantine folders.
     """
     parsed = cat.parse_catalogue(cat.catalogue_union(**catalogues))
     dated, undated = cat.split_undated(parsed)
-    records = cat.with_country_code(cat.with_negative_controls(dated), country_dim)
+    controlled = cat.with_country_code(cat.with_negative_controls(dated), country_dim).withColumn(
+        "id", to_schema("id", EVENT_KEYS["id"].dataType))
+    records, repeated = split_repeated(controlled)
     hourly = enrich_with_observations(
         records.withColumn("country", F.col("country_code")), observations)
     good, bad = split_quarantine(cat.stage_rows(hourly), RULES["staged_hour"])
 
     existing = None
     if path_exists(spark, f"{warehouse}/event_keys"):
-        before = {name: _earlier(spark, warehouse, name, schema, load_id)
+        before = {name: finished_rows(spark, warehouse, name, schema)
                   for name, schema in {**WAREHOUSE, "event_keys": EVENT_KEYS}.items()}
+        load_id = _free_load_id(before["event_keys"], load_id)
+        # The folder that is written must not be scanned, not even for rows that are then ignored.
+        before = {name: rows.where(F.col("load_id") != load_id).drop("load_id")
+                  for name, rows in before.items()}
         good = without_loaded(good, before["event_keys"])
         existing = before
 
     staged_path = shared_path(spark, "staged")
     good.write.parquet(staged_path)
     tables = load_star(spark.read.schema(good.schema).parquet(staged_path), existing)
-    tables |= {"quarantine_rows": bad, "quarantine_records": undated}
+    tables |= {"quarantine_rows": bad, "quarantine_records": undated,
+               "quarantine_repeated": repeated,
+               "quarantine_unobserved": unobserved(records, observations)}
     tables["event_keys"] = tables.pop("event_keys")  # last: it marks the blocks as loaded
     paths = {}
     for name, df in tables.items():
@@ -158,7 +198,10 @@ def score_outline(points: DataFrame, observations: DataFrame, models: dict[str,
 
 def run_predicting(spark: SparkSession, hourly: DataFrame, models: dict[str, PipelineModel],
                    out: str, run_date: str, regions: Sequence[Region] = REGIONS) -> str:
-    """Score the points and write CSV by region and day; points without a region have no score."""
+    """Score the points and write CSV by region and day, replacing the day's files of these regions.
+
+    Points without a region have no score.
+    """
     scores = score_points(hourly, models, regions).withColumn("run_date", F.lit(run_date))
-    write_csv(scores, out, mode="append", partition_by=("region", "run_date"))
+    write_csv(scores, out, partition_by=("region", "run_date"))
     return out

@@ -209,8 +209,8 @@ RULES = {
     ),
     "staged_hour": TableRules(
         primary_key=("source", "id", "is_control", "datetime"),
-        not_null=("elevation", "longitude", "latitude", "date", "timezone", "month", "year",
-                  *METRICS),
+        not_null=("source", "id", "is_control", "datetime", "elevation", "longitude", "latitude",
+                  "date", "timezone", "month", "year", *METRICS),
         ranges={"month": (1, 12), "relative_humidity": (0, 100)},
         max_length={"country": 12, "near": 100, "continent": 4, "timezone": 15,
                     "hazard_type": 50, "landslide_type": 50, "size": 20},

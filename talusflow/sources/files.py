@@ -10,15 +10,28 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line; lines that do not fit keep their text in `_corrupt_record`."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(with_corrupt)
+    """CSV with a header line; lines that do not fit keep their text in `_corrupt_record`.
+
+    Columns are taken by the names in the header, in any order; others are ignored, and a column
+    of the schema that no header names is an error. The files of a folder must share one header.
+    A line is judged by all columns, whichever of them are used later.
+    """
+    known = {f.name: f for f in schema.fields}
+    header = spark.read.option("header", True).csv(path).columns
+    if missing := [name for name in known if name not in header]:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]
+    rows = (
+        spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    # Naming all columns here keeps Spark from parsing only those that a later step selects.
+    whole_line = F.length(F.concat_ws("", *[F.col(f"`{name}`").cast("string") for name in known])) >= 0
+    return rows.select(*[f"`{name}`" for name in known], F.when(whole_line, F.col(CORRUPT)).alias(CORRUPT))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

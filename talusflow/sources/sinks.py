@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talusflow.operators.indexing import first_per_key
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               partition_by: tuple[str, ...] = ()) -> None:
-    """CSV files with a header."""
-    df.write.mode(mode).option("header", True).partitionBy(*partition_by).csv(path)
+    """CSV files with a header; overwriting replaces only the partitions that `df` has."""
+    df.write.mode(mode).option("header", True).option(
+        "partitionOverwriteMode", "dynamic" if partition_by else "static"
+    ).partitionBy(*partition_by).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
@@ -29,15 +34,17 @@ def append_new(df: DataFrame, path: str, keys: list[str],
                partition_by: tuple[str, ...] = ()) -> None:
     """Append the rows whose natural key the table lacks; repeating the call adds nothing.
 
+    Of rows with one key the lowest in its other columns is taken; null is a key like others.
     Keys that are also partition columns prune the read of the table.
     """
     spark = df.sparkSession
-    rows = df.dropDuplicates(keys)
+    rows = first_per_key(df, keys, [c for c in df.columns if c not in keys] or keys)
     if path_exists(spark, path):
         present = spark.read.schema(
             T.StructType([f for f in df.schema.fields if f.name in keys])
         ).parquet(path)
-        rows = rows.join(present.select(*keys), keys, "left_anti")
+        there = present.select(*[F.col(k).alias(f"_there_{k}") for k in keys])
+        rows = rows.join(there, [F.col(k).eqNullSafe(F.col(f"_there_{k}")) for k in keys], "left_anti")
     rows.select(*df.columns).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from talusflow.schemas import RULES, WAREHOUSE
+from talusflow.sources.sinks import path_exists
 
 # Session settings that describe the warehouse; credentials never stand in code.
 CONF_ROOT = "spark.talusflow.warehouse."
@@ -45,6 +47,17 @@ def load_table(spark: SparkSession, table: str, path: str | None = None, *,
                          for f in WAREHOUSE[table].fields])
 
 
+def finished_rows(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
+    """The rows of finished loads, with `load_id`: a load's event keys are written last."""
+    load = T.StructField("load_id", T.StringType())
+    done = spark.read.schema(T.StructType([load])).parquet(f"{path}/event_keys").distinct()
+    rows = spark.read.schema(T.StructType([*schema.fields, load])).parquet(f"{path}/{table}")
+    return rows.join(done, "load_id", "left_semi")
+
+
 def load_warehouse(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """All warehouse tables."""
-    return {table: load_table(spark, table, path) for table in WAREHOUSE}
+    """All warehouse tables; what an unfinished load left behind is not read."""
+    if not path_exists(spark, f"{path}/event_keys"):
+        return {table: load_table(spark, table, path) for table in WAREHOUSE}
+    return {table: finished_rows(spark, path, table, schema).select(*schema.fieldNames())
+            for table, schema in WAREHOUSE.items()}

@@ -29,12 +29,34 @@ def test_csv_keeps_na_and_separates_broken_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         f"{head}\n1,1/2/2020,1:00:00,Peru,x,NA,landslide,fall,small,1.5,2.5\n"
         f"two,1/2/2020,1:00:00,Peru,x,NA,landslide,fall,small,abc,2.5\n")
-    good, bad = files.split_corrupt(files.read_csv(spark, str(tmp_path), CATALOGUE_RAW).cache())
+    good, bad = files.split_corrupt(files.read_csv(spark, str(tmp_path), CATALOGUE_RAW))
     row = good.first()
     assert good.count() == 1 and row.continentcode == "NA" and row.latitude == 1.5
     assert bad.count() == 1 and "two" in bad.first()[0]
 
 
+def test_csv_takes_columns_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text("id,lon,note,lat\n1,2.5,x,1.5\n2,bad,x,1.5\n")
+    schema = T.StructType().add("id", "integer").add("lat", "double").add("lon", "double")
+    good, bad = files.split_corrupt(files.read_csv(spark, str(tmp_path), schema))
+    assert [tuple(r) for r in good.collect()] == [(1, 1.5, 2.5)]
+    assert good.select("id").collect()[0].id == 1 and good.select("id").count() == 1
+    assert bad.count() == 1
+    with pytest.raises(ValueError, match="depth"):
+        files.read_csv(spark, str(tmp_path), schema.add("depth", "integer"))
+
+
+def test_append_orders_and_takes_null_keys_once(spark, tmp_path):
+    from talusflow.sources.sinks import append_new
+
+    rows = spark.createDataFrame([(1, "b"), (1, "a"), (None, "n")], "k int, v string")
+    for _ in range(2):
+        append_new(rows, str(tmp_path / "t"), ["k"])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect()), key=str) == [(1, "a"), (None, "n")]
+
+
 def test_json_array_over_many_lines(spark, tmp_path):
     path = tmp_path / "a.json"
     path.write_text(json.dumps([{"id": 1, "country": "Peru"}, {"id": 2}], indent=1))

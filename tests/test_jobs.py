@@ -126,3 +126,75 @@ def _by_place():
 def test_warehouse_schemas_are_read_back(spark, warehouse):
     for name, df in load_warehouse(spark, warehouse[0]).items():
         assert df.schema.fieldNames() == WAREHOUSE[name].fieldNames()
+
+
+RECORD = ("id long, date string, time string, country string, near string, continentcode string, "
+          "hazard_type string, landslide_type string, landslide_size string, latitude double, "
+          "longitude double")
+DAYS = [datetime(2021, 3, 5), datetime(2020, 3, 5)]
+
+
+def record(number, place, near="x"):
+    _, country, lon, lat = PLACES[place - 1]
+    return (number, "3/5/2021", "7:0:0", country, near, "NA", "landslide", "fall", "small", lat, lon)
+
+
+def ingest(spark, path, load_id, records, seen):
+    countries = spark.createDataFrame([("Peru", "PER"), ("Peru", "PEX"), ("Chile", "CHL")],
+                                      "name string, code string")
+    return jobs.run_ingestion(spark, {"csv": spark.createDataFrame(records, RECORD)}, seen, countries,
+                              path, load_id)
+
+
+def audit(tables):
+    """Keys that occur twice or lead nowhere, over all tables."""
+    from talusflow.operators.quality import check_foreign_key, check_primary_key
+    from talusflow.schemas import RULES
+
+    found = 0
+    for name, df in tables.items():
+        found += check_primary_key(df, list(RULES[name].primary_key)).count()
+        for key, (parent, parent_key) in RULES[name].foreign_keys.items():
+            found += check_foreign_key(df, key, tables[parent], parent_key).count()
+    return found
+
+
+def test_ingestion_loses_no_row(spark, tmp_path):
+    path, long_id = str(tmp_path), 10**15
+    records = [record(long_id, 1), record(2, 2), record(2, 2, "y"), record(2, 2), record(None, 3),
+               record(4, 5)]
+    twice = [(PLACES[0][2], PLACES[0][3], DAYS[0] + timedelta(hours=7, minutes=30), 90, *[0.0] * 12)]
+    seen = observations(spark, [*observation_rows(PLACES[:3], DAYS), *twice])
+    ingest(spark, path, "d1", records, seen)
+    tables = load_warehouse(spark, path)
+    kept = {name: spark.read.parquet(f"{path}/quarantine_{name}") for name in ("rows", "repeated", "unobserved")}
+    assert {r.id for r in spark.read.parquet(f"{path}/event_keys").collect()} == {long_id, 2}
+    assert kept["rows"].count() == 48 and kept["rows"].where("id is null").count() == 48
+    assert kept["repeated"].agg(F.sum("n_rows")).first()[0] == 4
+    assert [r.id for r in kept["unobserved"].collect()] == [4, 4]
+    assert tables["landslide_event"].count() == 4 and tables["weather_data"].count() == 96
+    assert audit(tables) == 0
+
+
+def test_older_load_repeated_and_unfinished_load(spark, tmp_path):
+    path = str(tmp_path)
+    seen = observations(spark, observation_rows(PLACES, DAYS))
+    ingest(spark, path, "d1", [record(1, 1), record(2, 2)], seen)
+    ingest(spark, path, "d2", [record(3, 2), record(4, 3)], seen)
+    before = {n: sorted(map(str, df.collect())) for n, df in load_warehouse(spark, path).items()}
+    ingest(spark, path, "d1", [record(1, 1), record(2, 2)], seen)
+    after = {n: sorted(map(str, df.collect())) for n, df in load_warehouse(spark, path).items()}
+    assert after == before
+    ingest(spark, path, "d1", [record(1, 1), record(5, 4)], seen)
+    tables = load_warehouse(spark, path)
+    assert tables["landslide_event"].count() == 10 and audit(tables) == 0
+
+    # A load that ended before its event keys: all tables but that one.
+    for name in WAREHOUSE:
+        rows = spark.read.parquet(f"{path}/{name}").where("load_id = 'd2'").drop("load_id")
+        rows.write.parquet(f"{path}/{name}/load_id=d3")
+    assert {n: df.count() for n, df in load_warehouse(spark, path).items()} == {
+        n: df.count() for n, df in tables.items()}
+    ingest(spark, path, "d3", [record(6, 5)], seen)
+    tables = load_warehouse(spark, path)
+    assert tables["landslide_event"].count() == 12 and audit(tables) == 0
