@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talusflow.functions.scalars import to_schema
@@ -35,16 +35,15 @@ from talusflow.sources.warehouse import finished_rows
 
 
 def _stamped(observations: DataFrame) -> DataFrame:
-    """Observations (place, datetime, elevation, raw metrics) with exact place, day and hour."""
+    """Observations (place, datetime, elevation, raw metrics) with exact place and day columns."""
     return observations.select(
         *[F.col(c).cast(COORD).alias(c) for c in PLACE],
         F.year("datetime").alias("year"), F.month("datetime").alias("month"),
-        F.dayofmonth("datetime").alias("date"), F.date_trunc("hour", "datetime").alias("datetime"),
-        F.col("datetime").alias("_observed"), "elevation", *RAW_METRIC_NAMES)
+        F.dayofmonth("datetime").alias("date"), "datetime", "elevation", *RAW_METRIC_NAMES)
 
 
-# Of the observations of one hour the first counts; of equally early ones the lowest values.
-_FIRST_OBSERVED = ("_observed", "elevation", *RAW_METRIC_NAMES)
+# Of repeated observations of one time the one with the lowest values counts.
+_LOWEST_OBSERVED = ("elevation", *RAW_METRIC_NAMES)
 
 
 def _placed(records: DataFrame) -> DataFrame:
@@ -54,7 +53,7 @@ def _placed(records: DataFrame) -> DataFrame:
 def enrich_with_observations(records: DataFrame, observations: DataFrame) -> DataFrame:
     """Catalogue records with the hourly rows of their place and day, in staging names."""
     joined = feat.join_point_observation(_placed(records), _stamped(observations), BLOCK_KEYS,
-                                         "datetime", _FIRST_OBSERVED)
+                                         "datetime", _LOWEST_OBSERVED)
     return joined.withColumnsRenamed({
         **{raw: name for name, raw in METRICS.items()},
         "continentcode": "continent", "landslide_size": "size",
@@ -68,7 +67,7 @@ def enrich_points(points: DataFrame, observations: DataFrame) -> DataFrame:
     """
     numbered = with_row_index(_placed(points), [*PLACE, "year", "month", "date", "time"], "Index")
     joined = feat.join_point_observation(numbered, _stamped(observations), ["Index"], "datetime",
-                                         _FIRST_OBSERVED)
+                                         _LOWEST_OBSERVED)
     return joined.withColumnsRenamed(
         {"longitude": "longitude_info", "latitude": "latitude_info"}
     ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOURLY_FILE.fields])
@@ -98,6 +97,13 @@ def split_repeated(records: DataFrame) -> tuple[DataFrame, DataFrame]:
             surplus.where("n_rows > 0"))
 
 
+def with_hour_rank(staged: DataFrame) -> DataFrame:
+    """Add `hour_rank`: 1 for the first row of a block in an hour, which becomes the hour's fact."""
+    hour = Window.partitionBy(*BLOCK_KEYS, F.date_trunc("hour", "datetime"))
+    return staged.withColumn("hour_rank", F.row_number().over(
+        hour.orderBy("datetime", *[c for c in staged.columns if c not in (*BLOCK_KEYS, "datetime")])))
+
+
 def _free_load_id(finished: DataFrame, load_id: str) -> str:
     """The load id, or with a number behind it if that load is finished: it is never rewritten."""
     runs = finished.where((F.col("load_id") == load_id) | F.col("load_id").startswith(f"{load_id}.run"))
@@ -113,8 +119,8 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
     Each load has its own folder per table. `event_keys` is written last and marks the load as
     finished: the folders of an unfinished load are ignored, and overwritten when it is repeated. A
     finished load stays as it is, with its keys; repeating it adds the blocks that no load has
-    taken, in a folder of its own. Undated, unobserved and repeated records and rows that break a
-    rule go to quarantine folders.
+    taken, in a folder of its own. Undated, unobserved and repeated records, rows that break a
+    rule and further rows of a block's hour go to quarantine folders.
     """
     parsed = cat.parse_catalogue(cat.catalogue_union(**catalogues))
     dated, undated = cat.split_undated(parsed)
@@ -137,10 +143,13 @@ def run_ingestion(spark: SparkSession, catalogues: dict[str, DataFrame],
         existing = before
 
     staged_path = shared_path(spark, "staged")
+    good = with_hour_rank(good)
     good.write.parquet(staged_path)
-    tables = load_star(spark.read.schema(good.schema).parquet(staged_path), existing)
+    staged = spark.read.schema(good.schema).parquet(staged_path)
+    tables = load_star(staged.where("hour_rank = 1").drop("hour_rank"), existing)
     tables |= {"quarantine_rows": bad, "quarantine_records": undated,
                "quarantine_repeated": repeated,
+               "quarantine_hours": staged.where("hour_rank > 1"),
                "quarantine_unobserved": unobserved(records, observations)}
     tables["event_keys"] = tables.pop("event_keys")  # last: it marks the blocks as loaded
     paths = {}

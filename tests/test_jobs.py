@@ -167,9 +167,10 @@ def test_ingestion_loses_no_row(spark, tmp_path):
     seen = observations(spark, [*observation_rows(PLACES[:3], DAYS), *twice])
     ingest(spark, path, "d1", records, seen)
     tables = load_warehouse(spark, path)
-    kept = {name: spark.read.parquet(f"{path}/quarantine_{name}") for name in ("rows", "repeated", "unobserved")}
+    kept = {name: spark.read.parquet(f"{path}/quarantine_{name}") for name in ("rows", "repeated", "unobserved", "hours")}
     assert {r.id for r in spark.read.parquet(f"{path}/event_keys").collect()} == {long_id, 2}
     assert kept["rows"].count() == 48 and kept["rows"].where("id is null").count() == 48
+    assert [(r.id, r.datetime.minute) for r in kept["hours"].collect()] == [(long_id, 30)]
     assert kept["repeated"].agg(F.sum("n_rows")).first()[0] == 4
     assert [r.id for r in kept["unobserved"].collect()] == [4, 4]
     assert tables["landslide_event"].count() == 4 and tables["weather_data"].count() == 96
