@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -19,14 +20,18 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-_CACHE_WORDS = 1_200_000  # kept between texts; a full cache is emptied
+_CACHE_WORDS = 800_000  # words, and as many of their parts, kept between texts; a full cache is emptied
+# Letters that lower one by one and never compose, then signs; the tokenizer cuts between the two.
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+_LETTERS_SIGNS = re.compile(rf"([{_LETTERS}{_LETTERS.lower()}ßÿ]+)([!-&(-/:-@\[-`{{-~]*)")
 
 
 class TextIds:
     """Token ids of texts, through a cache of the ids of the words between spaces.
 
-    The tokenizer drops white space and never joins characters across it, so the ids of a text are
-    those of its words in order.
+    The tokenizer lowers letters, drops white space, never joins characters across it and cuts
+    between letters and signs, so the ids of a text are those of its words in order, and the ids of
+    a word of letters and signs are those of its two parts.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -35,19 +40,53 @@ class TextIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], dtype="<u4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        # How the tokenizer writes the bytes of a letter.
+        self.spelled = str.maketrans({x: self.tokenizer.pre_tokenizer.pre_tokenize_str(x)[0][0]
+                                      for x in _LETTERS.lower() + "ßÿ"})
+
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
+        for first in range(0, len(words), 10_000):
+            part = words[first:first + 10_000]
+            for code in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                yield array("I", code.ids).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > _CACHE_WORDS:
+            self.known.clear()
+        if len(self.parts) > _CACHE_WORDS:
+            self.parts = {"": b""}
+        known, parts = self.known, self.parts
+        merged = self.tokenizer.model.tokenize
+        cut, whole = [], []
+        for word in words:
+            match = _LETTERS_SIGNS.fullmatch(word)
+            if match is None:
+                whole.append(word)
+                continue
+            letters = match[1].lower()
+            if letters not in parts:
+                spelled = letters if letters.isascii() else letters.translate(self.spelled)
+                parts[letters] = array("I", [t.id for t in merged(spelled)]).tobytes()
+            cut.append((word, letters, match[2]))
+        signs = list({sign for _, _, sign in cut}.difference(parts))
+        parts.update(zip(signs, self._encoded(signs)))
+        known.update(zip(whole, self._encoded(whole)))
+        for word, letters, sign in cut:
+            known[word] = parts[letters] + parts[sign]
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
         words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list(set().union(*words).difference(known))
-        for first in range(0, len(new), 10_000):
-            part = new[first:first + 10_000]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = array("I", code.ids).tobytes()
-        return [b"".join(map(known.__getitem__, text)) + self.end for text in words]
+        codes = [list(map(self.known.get, text)) for text in words]
+        gaps = [[i for i, code in enumerate(of) if code is None] if None in of else () for of in codes]
+        new = {text[i] for text, open_ in zip(words, gaps) for i in open_}
+        if new:
+            self._learn(new)
+            for text, of, open_ in zip(words, codes, gaps):
+                for i in open_:
+                    of[i] = self.known[text[i]]
+        return [b"".join(of) + self.end for of in codes]
 
 
 class SquaresPacker:

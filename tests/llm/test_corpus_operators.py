@@ -74,6 +74,18 @@ def test_packing_covers_every_id_once(docs):
     assert max(ends.values()) <= 4096
 
 
+def test_ids_by_words_equal_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+    texts = ["Ab,c 's it's I'M x<|endoftext|>", "İstanbul ΑΣ. ς ﬁ x² ª", "éa É. ß.ÀÉ!? ÿ] àb Å.\u030a $$\u0300", "", None,
+             "  \n\t x\u00a0y ok\u200b. 12ab3 ### -a-b- ÐÞ×÷", "a^ `b` c\u0301 D_e"]
+    whole = Tokenizer.from_file(packing.TOKENIZER)
+    reader = packing.TextIds(packing.TOKENIZER, packing.END_ID)
+    for _ in range(2):
+        for text, ids in zip(texts, reader.of(texts)):
+            expected = whole.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+            assert np.frombuffer(ids, "<u4").tolist() == expected
+
+
 def test_squares_packer_picks_the_least_sum_of_squares():
     packer, draw = packing.SquaresPacker(12), np.random.default_rng(3)
     for size in draw.integers(1, 12, 400):
