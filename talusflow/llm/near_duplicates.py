@@ -21,7 +21,8 @@ class Method:
 
     A pair at the threshold shares no band with probability (1 - threshold^rows)^bands. Its
     signature of `hashes` values, of which one byte each is kept, is compared in batches, and the pair
-    goes when the posterior probability of reaching the threshold falls below `miss`.
+    goes when it is too unlikely to reach the threshold. `miss` limits the probability that a pair at
+    the threshold is dropped by any of these looks.
     """
 
     words: int = 5
@@ -30,7 +31,7 @@ class Method:
     rows: int = 4
     hashes: int = 512
     batch: int = 32
-    miss: float = 5e-5
+    miss: float = 1e-6
     tile: int = 1024
     offers: tuple[int, ...] = (4,)
 
@@ -39,14 +40,18 @@ class Method:
 
         With a uniform prior, similarity given m of n matches is Beta(m + 1, n - m + 1); it reaches
         the threshold with the probability that a binomial of n + 1 trials is at most m. Bytes of
-        different values agree once in 256 times, which raises the threshold a little.
+        different values agree once in 256 times, which raises the threshold t a little. A pair at t
+        has at most m of n matches with up to 1 / (1 - t) times that probability, so each look gets
+        (1 - t) times its share of `miss`.
         """
         t, out = self.percent / 100 + (1 - self.percent / 100) / 256, []
-        for n in range(self.batch, self.hashes + 1, self.batch):
+        looks = range(self.batch, self.hashes + 1, self.batch)
+        limit = self.miss * (1 - t) / len(looks)
+        for n in looks:
             below, m = 0.0, 0
             while m < n:
                 below += comb(n + 1, m) * t**m * (1 - t)**(n + 1 - m)
-                if below >= self.miss:
+                if below >= limit:
                     break
                 m += 1
             out.append((n, m))

@@ -119,6 +119,49 @@ def test_near_duplicates_equal_brute_force(docs):
     assert near_duplicates.distinct_documents(docs).columns == docs.columns
 
 
+def dropped(method, similarity):
+    """Probability that the looks drop a pair whose signature bytes agree as `similarity` says."""
+    t = similarity + (1 - similarity) / 256
+    alive, lost = np.array([1.0]), 0.0
+    for n, least in method.least_matches():
+        for _ in range(n - (len(alive) - 1)):
+            alive = np.r_[alive * (1 - t), 0] + np.r_[0, alive * t]
+        lost += alive[:least].sum()
+        alive[:least] = 0
+    return lost
+
+
+def test_near_duplicate_looks_drop_few_pairs_in_all():
+    method = near_duplicates.Method()
+    assert dropped(method, 0.75) <= 1e-6 and dropped(method, 0.76) <= 5e-7
+    assert dropped(near_duplicates.Method(miss=1e-3), 0.75) <= 1e-3
+
+
+def test_near_duplicates_just_above_the_threshold(spark):
+    # Copies of one text with one to six words changed: most pairs lie near the threshold.
+    base, draw = sentence(5, 160).split(), np.random.default_rng(6)
+    texts = []
+    for i in range(300):
+        words = list(base)
+        for at in draw.choice(160, 1 + i % 6, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    root, close = list(range(300)), 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            shared = len(x & sets[j])
+            union = len(x) + len(sets[j]) - shared
+            close += 75 * union <= 100 * shared < 80 * union
+            if 100 * shared >= 75 * union:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert close > 500 and len(set(root)) > 1
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_duplicates.near_duplicates(rows, method=near_duplicates.Method(tile=32)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+
+
 def test_personal_data_equals_plain_patterns(docs):
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
