@@ -21,7 +21,8 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 KINDS = (*PATTERNS, "id")
 
-_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+_SPACE = r"[\x20\x09-\x0D]+"
+_OPENING = r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}+\x20\x09-\x0D]+$"
 _EDGES = r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$"
 _HIT = "array<struct<start:int,hit:string,before:string>>"
 _SPAN = "array<struct<start:int,rank:int,end:int>>"
@@ -74,41 +75,131 @@ def _shape(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, r"\p{L}+", "a"), "[0-9]+", "9")
 
 
-def _candidates(text: Column) -> Column:
-    """Tokens with a digit: span, trimmed token, and the one or two words before with its shape."""
-    def of(hit):
-        lead = F.length(F.regexp_extract(hit["hit"], r"^[^\p{L}\p{N}+]*", 0))
-        token = F.regexp_replace(hit["hit"], _EDGES, "")
-        near = F.lower(F.regexp_extract(F.right(hit["before"], F.lit(80)),
-                                        r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-        two = F.lower(F.regexp_extract(F.right(hit["before"], F.lit(160)),
-                                       r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]*$", 1))
-        shape = _shape(token)
-        return F.struct(
-            (hit["start"] + lead).alias("start"), (hit["start"] + lead + F.length(token)).alias("end"),
-            token.alias("token"),
-            F.array(F.concat_ws(" ", near, shape), F.concat_ws(" ", two, near, shape)).alias("patterns"))
-    found = F.transform(located(text, _TOKEN), of)
-    likely = lambda c: (F.length(_digits(c["token"])) >= 4) & (F.length(c["token"]) >= 6)
-    return F.when(F.coalesce(text.rlike("[0-9]"), F.lit(False)), F.filter(found, likely))
-
-
-def learn_patterns(edges: DataFrame, rounds: int = 3, min_hits: int = 5, min_share: float = 0.8) -> DataFrame:
-    """Patterns that lead to known identifiers with high confidence.
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, _SPACE), "")
+
+
+def _patterns(two: Column, near: Column, token: Column) -> Column:
+    """What leads to a token: the word before and its shape, two words and its shape, two words."""
+    shape = _shape(token)
+    return F.filter(F.array(
+        F.concat(F.lit("1 "), near, F.lit(" "), shape), F.concat(F.lit("2 "), two, F.lit(" "), near, F.lit(" "), shape),
+        F.when(two != "", F.concat(F.lit("3 "), two, F.lit(" "), near))), lambda p: p.isNotNull())
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with another character in place of each one of the spans; white space stays."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(spans, start, lambda acc, s: F.struct(
+        F.greatest(acc["at"], s["end"]).alias("at"),
+        F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
+                 F.regexp_replace(F.substring(
+                     text, F.greatest(s["start"], acc["at"]) + 1,
+                     F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0))),
+                     r"[^\x20\x09-\x0D]", "\uE000")).alias("out")))
+    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substr(text, done["at"] + 1))).otherwise(text)
+
+
+def _instances(rows: DataFrame) -> DataFrame:
+    """pattern, near, token of every base span, whatever it is made of."""
+    spans = rows.select("_text", F.explode("base").alias("_s"))
+    before = F.regexp_replace(F.substring(F.col("_text"), F.lit(1), F.col("_s.start")), _OPENING, "")
+    said = spans.select(
+        F.substring(F.col("_text"), F.col("_s.start") + 1, F.col("_s.end") - F.col("_s.start")).alias("token"),
+        _words(F.lower(before)).alias("_w"))
+    last = lambda n: F.coalesce(F.get("_w", F.size("_w") - n), F.lit(""))
+    return said.select("token", last(1).alias("near"), F.explode(
+        _patterns(last(2), last(1), F.col("token"))).alias("pattern"))
+
+
+def _tokens(rows: DataFrame) -> DataFrame:
+    """Every word outside the base spans: _row, _at (its number), token (trimmed), and two words before."""
+    words = rows.select("_row", "_text", "base", _words(F.lower("_text")).alias("_low")).select(
+        "_row", _words(F.col("_text")).alias("_w"), _words(_blanked(F.col("_text"), F.col("base"))).alias("_b"),
+        F.concat(F.array(F.lit("")), "_low").alias("_n"), F.concat(F.array(F.lit(""), F.lit("")), "_low").alias("_t"))
+    return (
+        words.select("_row", F.posexplode(F.arrays_zip("_w", "_b", "_n", "_t")).alias("_at", "_z"))
+        .where(F.col("_z._w") == F.col("_z._b"))
+        .select("_row", "_at", F.regexp_replace("_z._w", _EDGES, "").alias("token"),
+                F.col("_z._n").alias("near"), F.col("_z._t").alias("two"))
+        .where(F.col("token") != "")
+    )
+
+
+def learn_patterns(edges: DataFrame, min_hits: int = 5, min_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Patterns that lead to known identifiers with high confidence, and the belief in other tokens.
 
     `edges` has pattern, token, seed (1.0 or 0.0), one row for each pair. In each round a pattern's
     share is the mean belief in its tokens, and a token without a seed gets the best share of its
     confident patterns, lessened a little. A pattern is confident with at least `min_hits` believed
-    tokens and a share of at least `min_share`.
+    tokens and a share of at least `min_share`. Belief never falls, so the confident patterns only
+    become more; the rounds end when they stop doing so.
     """
-    belief = edges
-    for _ in range(rounds):
+    belief, before = edges, -1
+    while True:
         shares = belief.groupBy("pattern").agg(F.avg("seed").alias("share"), F.sum("seed").alias("hits"))
         good = written(shares.where((F.col("hits") >= min_hits) & (F.col("share") >= min_share)), "pii-patterns")
-        told = edges.join(good, "pattern").groupBy("token").agg((F.max("share") * 0.9).alias("told"))
-        belief = edges.join(told, "token", "left").select(
-            "pattern", "token", F.greatest("seed", F.coalesce("told", F.lit(0.0))).alias("seed"))
-    return good
+        told = written(edges.join(good, "pattern").groupBy("token").agg((F.max("share") * 0.9).alias("told")),
+                       "pii-told")
+        if (now := good.count()) == before or not now:
+            return good, told
+        belief, before = _believed(edges, told), now
+
+
+def _believed(edges: DataFrame, told: DataFrame) -> DataFrame:
+    return edges.join(told, "token", "left").select(
+        "pattern", *[c for c in edges.columns if c == "near"], "token",
+        F.greatest("seed", F.coalesce("told", F.lit(0.0))).alias("seed"))
+
+
+def _learnt(rows: DataFrame, min_hits: int = 5, min_share: float = 0.8) -> DataFrame:
+    """_row and _at of the tokens outside base spans that confident patterns lead to.
+
+    Starts from the patterns of the base spans. Only a pattern that leads to enough believed tokens
+    can be confident, so the texts are read for all tokens of just these; then for all patterns of
+    the tokens that are believed now, and so on until no further pattern has enough.
+    """
+    named = edges = written(_instances(rows).distinct().withColumn("seed", F.lit(1.0)), "pii-edges")
+    none = named.where(F.lit(False))
+    places = none.select(F.lit(0).cast("long").alias("_row"), F.lit(0).alias("_at"), "pattern", "near", "token")
+    looked, good, asked = none.select("pattern", "near"), none.select("pattern"), none.select("token")
+    told = none.select("token", F.col("seed").alias("told"))
+    while True:
+        able = written(_believed(edges, told).groupBy("pattern").agg(F.sum("seed").alias("hits"), F.min("near").alias("near"))
+                       .where(F.col("hits") >= min_hits).select("pattern", "near")
+                       .join(looked, "pattern", "left_anti"), "pii-able")
+        if able.isEmpty():
+            break
+        nears = written(able.select("near").distinct(), "pii-nears")
+        found = _tokens(rows).join(nears, "near", "left_semi").select("_row", "_at", "near", "token", F.explode(
+            _patterns(F.col("two"), F.col("near"), F.col("token"))).alias("pattern"))
+        places = places.unionByName(written(found.join(able.select("pattern"), "pattern", "left_semi"), "pii-places"))
+        looked = looked.unionByName(able)
+        edges = written(edges.unionByName(places.select("pattern", "near", "token").distinct().withColumn("seed", F.lit(0.0)))
+                        .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges")
+        good, told = learn_patterns(edges.join(looked.select("pattern"), "pattern", "left_semi")
+                                    .select("pattern", "token", "seed"), min_hits, min_share)
+        # A base token's own occurrences are all in `named`; of others the patterns are read now.
+        fresh = written(told.select("token").join(named.select("token").distinct(), "token", "left_anti")
+                        .join(asked, "token", "left_anti"), "pii-fresh")
+        if not fresh.isEmpty():
+            asked = asked.unionByName(fresh)
+            more = _tokens(rows).join(fresh, "token", "left_semi").select("near", "token", F.explode(
+                _patterns(F.col("two"), F.col("near"), F.col("token"))).alias("pattern"))
+            edges = written(edges.unionByName(more.distinct().withColumn("seed", F.lit(0.0)))
+                            .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges")
+    return places.join(good.select("pattern"), "pattern", "left_semi").select("_row", "_at").distinct()
+
+
+def _span(text: Column, at: Column) -> Column:
+    """The trimmed span of a text's word number `at` (from 0)."""
+    words, gaps = _words(text), F.split(text, r"[^\x20\x09-\x0D]+", -1)
+    long = lambda parts, n: F.aggregate(F.slice(parts, 1, n), F.lit(0), lambda acc, p: acc + F.length(p))
+    word = F.get(words, at)
+    start = (long(gaps, at + 1) + long(words, at)
+             + F.length(F.regexp_extract(word, r"^[^\p{L}\p{N}+]*", 0)))
+    return F.struct(start.alias("start"), F.lit(KINDS.index("id")).alias("rank"),
+                    (start + F.length(F.regexp_replace(word, _EDGES, ""))).alias("end"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -116,31 +207,29 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Spans of personal data of every document: doc_id, base and all, with the columns in `keep`.
 
     `base` and `all` are arrays of (start, rank, end) in order; rank is the place in KINDS. Base
-    spans come from the fixed patterns, each kind on its own; tokens with at least four digits that
-    lie in no base span are added as `id` when a confident context leads to them. Null and empty
-    texts have no spans; repeated rows and null ids keep their rows; an empty table gives none.
+    spans come from the fixed patterns, each kind on its own, and all of them teach contexts; any
+    word that lies in no base span, with or without digits, is added as `id` when a confident
+    context leads to it. An `id` is one word; what is written in several is found word by word. Null
+    and empty texts have no spans; repeated rows and null ids keep their rows; an empty table gives
+    none.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     row = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in keep], text.alias("_text"))
     for kind in PATTERNS:
         row = row.withColumn(f"_{kind}", _base_spans(F.col("_text"), kind))
     base = F.array_sort(F.concat(*[F.col(f"_{k}") for k in PATTERNS]))
-    row = row.select("doc_id", *keep, base.alias("base"), _candidates(F.col("_text")).alias("_near"),
-                     F.monotonically_increasing_id().alias("_row"))
+    kept = [c for c in keep if c != text_col]
+    own = [F.col("_text")] if text_col not in keep else [F.col(text_col)]
+    row = row.select("doc_id", *kept, *own, base.alias("base"), F.monotonically_increasing_id().alias("_row"))
     row = written(row, "pii-spans")
-    seen = row.where(F.size("_near") > 0).select(
-        "_row", "base", F.explode("_near").alias("_c")).select(
-        "_row", "_c.*", F.exists("base", lambda b: (b["start"] < F.col("_c.end"))
-                                 & (b["end"] > F.col("_c.start"))).alias("known"))
-    edges = written(
-        seen.select("token", "known", F.explode("patterns").alias("pattern"))
-        .groupBy("pattern", "token").agg(F.max(F.col("known").cast("double")).alias("seed")), "pii-edges")
-    good = learn_patterns(edges, **learning).select("pattern")
-    added = (
-        seen.where(~F.col("known")).select("_row", "start", "end", F.explode("patterns").alias("pattern"))
-        .join(good, "pattern").groupBy("_row")
-        .agg(F.collect_set(F.struct("start", F.lit(KINDS.index("id")).alias("rank"), "end")).alias("_more")))
-    return row.join(added, "_row", "left").select(
+    if text_col in keep:
+        row = row.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+    learnt = _learnt(row.select("_row", "_text", "base"), **learning)
+    spans = (
+        row.select("_row", "_text").join(learnt, "_row")
+        .select("_row", _span(F.col("_text"), F.col("_at")).alias("_s"))
+        .groupBy("_row").agg(F.collect_set("_s").alias("_more")))
+    return row.join(spans, "_row", "left").select(
         "doc_id", *keep, "base",
         F.array_sort(F.concat("base", F.coalesce("_more", F.array().cast(_SPAN)))).alias("all"))
 

@@ -193,6 +193,20 @@ def test_learnt_context_finds_an_unknown_identifier(spark):
     assert spans[99] == [personal_data.KINDS.index("id")] and spans[0] == [personal_data.KINDS.index("card")]
 
 
+def test_contexts_of_addresses_find_names_without_digits(spark):
+    texts = [f" \tWrite {'so ' * (i % 3)}to user contact: <{n}@example.org> now" for i, n in enumerate("amy bob cat dan eve fay gil hal ida jim kim lee".split())]
+    texts += ["é user contact: (zoe_at_example), please", "zoe_at_example met owner login: zoe_at_example", None, "contact: nobody"]
+    # The found names teach a context that no base span stands in.
+    names = "una_at_x vic_at_x wim_at_x xan_at_x yan_at_x".split()
+    texts += [f"user contact: {n}" for n in names] + [f"owner login: {n}" for n in names] + ["owner login: late_at_x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r["all"] if s.rank == personal_data.KINDS.index("id")]
+             for r in personal_data.find_personal_data(rows, keep=("text",), min_hits=3, min_share=0.5).collect()}
+    assert found[12] == ["zoe_at_example"] and found[0] == [] and found[15] == []
+    assert found[16] == ["una_at_x"] and found[len(texts) - 1] == ["late_at_x"]
+    assert found[13] == ["zoe_at_example"]
+
+
 def test_mixing_meets_its_targets(docs):
     rows = mixing.mix_sources(docs).collect()
     assert len(rows) == len(TEXTS) and all(0 <= r.taken <= 2 * r.size for r in rows)
