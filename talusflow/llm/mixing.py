@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talusflow.llm.common import WORD, written
 
+_ROUNDS = "array<struct<_f:bigint,_c:double,_to_f:bigint,_to_c:double,_most:bigint>>"
 _COARSE, _FINE = 128, 4096  # levels at which the rank order is added up before single rows
 
 
@@ -59,8 +60,38 @@ def _odds(uniform: Column, inclusion: Column) -> Column:
                   / (inclusion / (F.lit(1.0) - inclusion)))
 
 
+def _crossing(ranked: DataFrame, due: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where each source's words run out: the fine step with the sum before it, and the last rank inside
+    it that fits, its sum, and the rank that is over. A source whose words all fit is in neither."""
+    found = due.withColumn("_before", F.lit(0).cast("long"))
+    for step, within in (("_coarse", []), ("_fine", ["_coarse"]), ("_rank", ["_coarse", "_fine"])):
+        inside = ranked.join(found, ["_source", *within])
+        running = Window.partitionBy("_source").orderBy(step)
+        sums = (
+            inside.groupBy("_source", *within, step)
+            .agg(F.sum("_size").alias("_words"), F.first("_due").alias("_due"),
+                 F.first("_before").alias("_before"))
+            .withColumn("_after", F.col("_before") + F.sum("_words").over(running))
+        )
+        if step == "_rank":
+            fits = F.col("_after") <= F.col("_due")
+            cut = sums.groupBy("_source").agg(
+                F.max(F.when(fits, F.col("_rank"))).alias("_inner_cut"),
+                F.max(F.when(fits, F.col("_after"))).alias("_inner_sum"),
+                F.min(F.when(~fits, F.col("_rank"))).alias("_over"))
+            break
+        first_over = (
+            sums.where(F.col("_after") > F.col("_due"))
+            .groupBy("_source").agg(F.min(F.struct(step, *within, "_due",
+                                                   (F.col("_after") - F.col("_words")).alias("_before"),
+                                                   )).alias("_s"))
+        )
+        found = written(first_over.select("_source", "_s.*"), "mixing-step")
+    return found, cut
+
+
 def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
-                max_copies: float = 2.0) -> DataFrame:
+                max_copies: float = 2.0, fill: bool = False) -> DataFrame:
     """One row per source: size, target, certain copies and which ranks get one copy more.
 
     `rows` has `_source`, `_size`, `_u`. Each document gets `_whole` certain copies and stands for
@@ -68,6 +99,10 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     the words left; then the one document whose size is nearest to the rest is added if that comes
     closer to the target. The order is added up in coarse steps, then in fine steps of the step
     where the words run out, then row by row, so no task sorts a source.
+
+    With `fill`, a document that does not fit is set aside instead of ending its source: the order
+    goes on with the documents that fit into the words still left, round by round until none does.
+    `_more` has what each round takes.
     """
     sizes = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     targets = source_targets(sizes, weights, share, max_copies)
@@ -87,27 +122,7 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
         .withColumn("_fine", F.floor(place * (_COARSE * _FINE)))
         .select("_source", "_size", "_rank", "_coarse", "_fine")
     )
-    found = plan.select("_source", "_due").withColumn("_before", F.lit(0).cast("long"))
-    for step, within in (("_coarse", []), ("_fine", ["_coarse"]), ("_rank", ["_coarse", "_fine"])):
-        inside = ranked.join(found, ["_source", *within])
-        running = Window.partitionBy("_source").orderBy(step)
-        sums = (
-            inside.groupBy("_source", *within, step)
-            .agg(F.sum("_size").alias("_words"), F.first("_due").alias("_due"),
-                 F.first("_before").alias("_before"))
-            .withColumn("_after", F.col("_before") + F.sum("_words").over(running))
-        )
-        if step == "_rank":
-            cut = sums.where(F.col("_after") <= F.col("_due")).groupBy("_source").agg(
-                F.max("_rank").alias("_inner_cut"), F.max("_after").alias("_inner_sum"))
-            break
-        first_over = (
-            sums.where(F.col("_after") > F.col("_due"))
-            .groupBy("_source").agg(F.min(F.struct(step, *within, "_due",
-                                                   (F.col("_after") - F.col("_words")).alias("_before"),
-                                                   )).alias("_s"))
-        )
-        found = written(first_over.select("_source", "_s.*"), "mixing-step")
+    found, cut = _crossing(ranked, plan.select("_source", "_due"))
 
     # All ranks before the crossing step, and those inside it that still fit.
     cuts = (
@@ -117,14 +132,38 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
         .withColumn("_filled", F.coalesce(F.col("_inner_sum"), F.col("_before")))
         .withColumn("_fine_cut", F.when(F.col("_crosses"), F.col("_fine")))
         .select("_source", "source_size", "target", "_whole", "_part", "_due", "_crosses", "_fine_cut",
-                F.coalesce("_inner_cut", F.lit(-1.0)).alias("_cut"), "_filled")
+                F.coalesce("_inner_cut", F.lit(-1.0)).alias("_cut"), "_over", "_filled")
     )
-    cuts = written(cuts, "mixing-cuts")
+    cuts = written(cuts.withColumn("_more", F.array().cast(_ROUNDS)), "mixing-cuts")
+    state = cuts.where("_crosses").select("_source", F.col("_fine_cut").alias("_f"), F.col("_over").alias("_c"),
+                                          (F.col("_due") - F.col("_filled")).alias("_due"))
+    while fill:
+        small = (ranked.join(state, "_source").where(_after("_f", "_c") & (F.col("_size") <= F.col("_due"))
+                                                    & (F.col("_size") > 0)))
+        all_of = written(small.groupBy("_source").agg(F.sum("_size").alias("_all")), "mixing-fits")
+        if all_of.isEmpty():
+            break
+        found, cut = _crossing(small.drop("_due"), state.select("_source", "_due"))
+        # A round takes what fits after the last rank that was over, up to its own cut; without a
+        # crossing that is all. Repeated rows share a rank and are passed over together.
+        done = written(
+            state.join(all_of, "_source").join(found.select("_source", "_fine", "_before"), "_source", "left")
+            .join(cut, "_source", "left")
+            .select("_source", "_f", "_c", F.col("_due").alias("_most"), F.col("_fine").alias("_to_f"),
+                    F.coalesce("_inner_cut", F.lit(-1.0)).alias("_to_c"), "_over",
+                    (F.col("_due") - F.coalesce("_inner_sum", "_before", "_all")).alias("_due")), "mixing-round")
+        step = F.struct("_f", "_c", "_to_f", "_to_c", "_most")
+        cuts = written(cuts.join(done.select("_source", step.alias("_step"), F.col("_due").alias("_left")), "_source", "left")
+                       .withColumn("_filled", F.coalesce(F.col("_due") - F.col("_left"), "_filled"))
+                       .withColumn("_more", F.when(F.col("_step").isNull(), F.col("_more"))
+                                   .otherwise(F.concat("_more", F.array("_step"))))
+                       .drop("_step", "_left"), "mixing-cuts")
+        state = done.where(F.col("_to_f").isNotNull()).select(
+            "_source", F.col("_to_f").alias("_f"), F.col("_over").alias("_c"), "_due")
     rest = F.col("_due") - F.col("_filled")
     nearest = (
         ranked.join(cuts.where("_crosses"), "_source")
-        .where((F.col("_fine") > F.col("_fine_cut"))
-               | ((F.col("_fine") == F.col("_fine_cut")) & (F.col("_rank") > F.col("_cut"))))
+        .where(_after("_fine_cut", "_cut") & ~_in_rounds(F.col("_fine")))
         .where(F.abs(F.col("_size") - rest) < rest)
         .groupBy("_source").agg(F.min(F.struct(F.abs(F.col("_size") - rest), "_rank")).alias("_n"))
         .select("_source", F.col("_n._rank").alias("_last"))
@@ -132,18 +171,32 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     return written(cuts.join(nearest, "_source", "left"), "mixing-plan")
 
 
+def _after(fine: str, cut: str) -> Column:
+    return (F.col("_fine") > F.col(fine)) | ((F.col("_fine") == F.col(fine)) & (F.col("_rank") > F.col(cut)))
+
+
+def _in_rounds(fine: Column) -> Column:
+    """Whether one of the rounds in `_more` takes the row."""
+    rank, size = F.col("_rank"), F.col("_size")
+    return F.exists("_more", lambda m: (
+        (size <= m["_most"]) & ((fine > m["_f"]) | ((fine == m["_f"]) & (rank > m["_c"])))
+        & (m["_to_f"].isNull() | (fine < m["_to_f"]) | ((fine == m["_to_f"]) & (rank <= m["_to_c"])))))
+
+
 def mixed_rows(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows with `_copies` (0, 1, 2, ...), `source_size` and `target`."""
-    rank = _odds(F.col("_u"), F.col("_part"))
+    rows = rows.join(plan, "_source").withColumn("_rank", _odds(F.col("_u"), F.col("_part")))
+    rank = F.col("_rank")
     step = F.floor(rank / (F.lit(1.0) + rank) * (_COARSE * _FINE))
     taken = (
         F.when(rank.isNull(), False)
         .when(~F.col("_crosses"), True)
         .otherwise((step < F.col("_fine_cut"))
                    | ((step == F.col("_fine_cut")) & (rank <= F.col("_cut")))
-                   | F.coalesce(rank == F.col("_last"), F.lit(False)))
+                   | F.coalesce(rank == F.col("_last"), F.lit(False))
+                   | _in_rounds(step))
     )
-    return rows.join(plan, "_source").withColumn("_copies", F.col("_whole") + taken.cast("long"))
+    return rows.withColumn("_copies", F.col("_whole") + taken.cast("long"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -168,11 +221,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     share: float = 1.5, max_copies: float = 2.0, seed: str = "mix") -> DataFrame:
     """The documents of the mix with all their columns, a row for each copy taken.
 
-    A document without words has no weight in the mix and stays once.
+    A document without words has no weight in the mix and stays once. Unlike in `mix_sources`, whose
+    rows the check SQL fixes, a document too long for the words left does not end its source.
     """
     keys = _ranked(docs, id_col, text_col, source_col, seed)
     rows = written(docs.select(*keys), "mixing-rows")
-    plan = mixing_plan(rows, weights, share, max_copies)
+    plan = mixing_plan(rows, weights, share, max_copies, fill=True)
     full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *keys)
     copies = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_copies")).cast("int")
     return (

@@ -215,6 +215,22 @@ def test_mixing_meets_its_targets(docs):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixing_goes_on_after_a_document_too_long(spark):
+    # One document holds a third of its source; the targets are 0.3 of the sizes.
+    draw, rows = np.random.default_rng(8), []
+    for s in range(24):
+        sizes = draw.integers(20, 60, 150).tolist()
+        rows += [(1000 * s + i, "w " * n, f"s{s:02}") for i, n in enumerate([*sizes, sum(sizes) // 2])]
+        rows += [(1000 * s + 900, "w " * 50, f"s{s:02}")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got, target = {}, {}
+    for r in mixing.mixed_documents(frame, weights=(1,), share=0.3).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    for r in mixing.mix_sources(frame, weights=(1,), share=0.3).collect():
+        target[f"s{r.doc_id // 1000:02}"] = r.target
+    assert len(target) == 24 and all(abs(got[s] / t - 1) < 0.02 for s, t in target.items())
+
+
 def test_language_model_counts_and_normalises(docs):
     rows = language_model.score_language(docs).collect()
     assert len(rows) == len(TEXTS) and all(np.isfinite([r.score, r.base_score]).all() and r.score < 0 for r in rows)
