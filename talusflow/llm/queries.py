@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talusflow.llm import (
+    decontamination,
     language_model,
     mixing,
     near_duplicates,
@@ -127,3 +128,28 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_language_model")
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_language(table(spark, sf_dir, "documents"))
+
+
+@query("op12_decontamination", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p + 1:p + least(len(w), 10)], ' ') AS t
+        FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS p FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT r, p, n, t FROM (SELECT r, p, n, array_to_string(w[p + 1:p + n], ' ') AS t FROM
+        (SELECT r, w, n, unnest(range(greatest(len(w) - n + 1, 0))) AS p FROM d, sizes)) SEMI JOIN win USING (n, t)),
+hit AS (SELECT r, count(DISTINCT p + k) AS n_hit FROM (SELECT r, p, unnest(range(n)) AS k FROM occ) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM
+        (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM occ JOIN win USING (n, t)) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""")
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
