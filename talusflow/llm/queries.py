@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talusflow.llm import (
     decontamination,
     language_model,
+    lexical_search,
     mixing,
     near_duplicates,
     packing,
@@ -153,3 +154,25 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op13_lexical_search", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) SEMI JOIN q USING (t) GROUP BY ALL),
+v AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+      FROM (SELECT t, count(*) AS df FROM p GROUP BY t), s),
+m AS (SELECT r, doc_id, 100 - 25 + ((25 * len(w) * n_docs) // n_terms) AS m FROM d, s WHERE len(w) > 0),
+i AS (SELECT r, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS impact
+      FROM p JOIN v USING (t) JOIN m USING (r)),
+f AS (SELECT item_id, r, doc_id, CAST(sum(c * impact) AS BIGINT) AS score FROM q JOIN i USING (t) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank,
+       doc_id, score
+FROM f WHERE score > 0 QUALIFY rank <= 20""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
