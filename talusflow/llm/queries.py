@@ -15,6 +15,7 @@ from talusflow.llm import (
     near_duplicates,
     packing,
     personal_data,
+    spelling,
     topk_search,
     toxicity,
     url_rules,
@@ -176,3 +177,33 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM f WHERE score > 0 QUALIFY rank <= 20""")
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_spelling", r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+      WHERE length(run) >= 5 GROUP BY ALL),
+bytes AS (SELECT run, k, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+             lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + ord(c) // 64, 128 + ord(c) % 64] END)) AS b
+      FROM runs),
+hashed AS (SELECT run, k, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295),
+             4294967295) AS h FROM bytes, crc),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k, CASE WHEN h % 97 = 0 THEN
+             substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+del AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM
+       (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM del a JOIN del b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+      UNION SELECT a.word, a.n, b.word, b.n FROM v a JOIN del b ON a.word = b.d
+      UNION SELECT b.word, b.n, a.word, a.n FROM v a JOIN del b ON a.word = b.d),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, encode(other))) AS other, max(m) AS m FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form,
+             CASE WHEN m >= 2 * n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM f UNION ALL
+      SELECT chain.word, f.form FROM chain JOIN f ON chain.root = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)""")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
