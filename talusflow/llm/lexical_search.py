@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from talusflow.llm.common import text_chunks, written
 from talusflow.llm.words import coded, split_words
 
-SHARD_DOCS = 4096       # documents of one shard of the index
-SHARD_BYTES = 16 << 20  # text at which a shard is closed earlier
+SHARD_DOCS = 2048       # documents of one shard of the index
+SHARD_BYTES = 6 << 20   # text at which a shard is closed earlier
 BLOCK_BYTES = 2 << 20   # query text that one pass over the index carries to its tasks
 SPLITS = 96             # intervals that are split together
 
