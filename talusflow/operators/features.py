@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from talusflow.functions.scalars import hour_of
 from talusflow.functions.vectors import sequence_name
 from talusflow.operators.indexing import first_per_key
-from talusflow.operators.skew import SALT, count_hot_keys, replicate, skew_join, spread
+from talusflow.operators.skew import skew_join
 from talusflow.schemas import DAY_KEYS, DEPTHS, HOURS, METRIC_NAMES, METRICS
 
 WEATHER_METRICS = ["temperature", "rain", "precipitation", "relative_humidity"]
@@ -124,21 +124,26 @@ def dedup_location_time(labelled: DataFrame, facts: DataFrame) -> DataFrame:
 
 def hour_slots(hours: DataFrame, keys: list[str], metrics: list[str],
                hour: str = "hour", order: str = "fact_id",
-               n_hours: int = HOURS, fill: float | str = 0.0) -> DataFrame:
-    """Fixed-length arrays `features_<metric>` per key, ordered by hour.
+               n_hours: int = HOURS, fill: float | str = 0.0,
+               describe: Sequence[str] = ()) -> DataFrame:
+    """Fixed-length arrays `features_<metric>` per key, ordered by hour, with the hours seen, `n_hours`.
 
     `hours` may repeat an hour: the row with the lowest `order` wins. One aggregation with a slot
     per hour does the dedup, the ordering and the grid: each task sends at most `n_hours` rows
     per key into the only shuffle, and no list is gathered. Missing values get `fill`; with
-    `fill='mean'` the mean of the key's own values (0 when it has none).
+    `fill='mean'` the mean of the key's own values (0 when it has none). `describe` names columns
+    that describe the key; of different descriptions of one key the lowest is taken.
     """
     values = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics)
     slots = ", ".join(f"min(CASE WHEN {hour} = {h} THEN _row END)" for h in range(n_hours))
+    about = [F.min(F.struct(*describe)).alias("_about")] if describe else []
+    keys_and_more = [*keys, "_about.*"] if describe else keys
     days = (
-        hours.selectExpr(*keys, hour, f"struct({order} AS _order, {values}) AS _row")
-        .groupBy(*keys).agg(F.expr(f"array({slots})").alias("_slots"))
-        .selectExpr(*keys, "_slots", "size(array_compact(_slots)) AS n_hours")
+        hours.selectExpr(*keys, hour, f"struct({order} AS _order, {values}) AS _row", *describe)
+        .groupBy(*keys).agg(F.expr(f"array({slots})").alias("_slots"), *about)
+        .selectExpr(*keys_and_more, "_slots", "size(array_compact(_slots)) AS n_hours")
     )
+    keys = [*keys, *describe]
     if fill == "mean":
         known = {m: f"array_compact(_slots.{m})" for m in metrics}
         days = days.selectExpr("*", *[
@@ -155,34 +160,32 @@ def event_sequences(labelled: DataFrame, facts: DataFrame, fill: float | str = 0
     """One row per event: label, the columns in `keep`, and twelve sequences of 24 hours.
 
     The sequences belong to a location and day, so they are packed once and joined to the events
-    of that day. Days on which very many events fall are packed under several salts, so that
-    their events spread over as many tasks.
+    of that day. Where very many events fall on one day, its one packed row is copied per salt and
+    its events spread over as many tasks; the facts themselves are never copied.
     """
     timed = facts.withColumn("hour", hour_of("time", facts.schema["time"].dataType))
     events = labelled.select("event_id", "label", *keep, *DAY_KEYS)
-    keys = DAY_KEYS
-    hot = count_hot_keys(events, DAY_KEYS)
-    if hot is not None:
-        timed = replicate(timed, hot, DAY_KEYS)
-        events = spread(events, hot, DAY_KEYS, ["event_id"])
-        keys = [*DAY_KEYS, SALT]
-    days = hour_slots(timed, keys, METRIC_NAMES, fill=fill)
-    return events.join(days, keys).drop(*keys)
+    days = hour_slots(timed, DAY_KEYS, METRIC_NAMES, fill=fill)
+    return skew_join(events, days, DAY_KEYS, ["event_id"]).drop(*DAY_KEYS)
 
 
-def predict_sequences(hourly: DataFrame, fill: float | str = 0.0) -> DataFrame:
+def predict_sequences(hourly: DataFrame, fill: float | str = 0.0,
+                      describe: Sequence[str] = ()) -> DataFrame:
     """The same arrays from hourly files: one row per `Index`, raw metric names."""
     named = hourly.select(
-        "Index", F.hour("datetime").alias("hour"), "datetime",
+        "Index", F.hour("datetime").alias("hour"), "datetime", *describe,
         *[F.col(raw).cast("double").alias(name) for name, raw in METRICS.items()],
     )
-    return hour_slots(named, ["Index"], METRIC_NAMES, order="datetime", fill=fill)
+    return hour_slots(named, ["Index"], METRIC_NAMES, order="datetime", fill=fill,
+                      describe=describe)
+
+
+POINT_INFO = ["longitude_info", "latitude_info", "date", "year", "month", "elevation", "time"]
 
 
 def outline_metadata(hourly: DataFrame) -> DataFrame:
     """The distinct descriptions of the points to score."""
-    return hourly.select("Index", "longitude_info", "latitude_info", "date", "year", "month",
-                         "elevation", "time").distinct()
+    return hourly.select("Index", *POINT_INFO).distinct()
 
 
 def outline_means(hourly: DataFrame) -> DataFrame:
@@ -206,11 +209,13 @@ PLACE_DAY = ["longitude", "latitude", "year", "month", "date"]
 
 
 def join_point_observation(points: DataFrame, observations: DataFrame, by: list[str],
-                           time: str = "time", order: Sequence[str] = ("fact_id",)) -> DataFrame:
+                           time: str = "time", order: Sequence[str] = ("fact_id",),
+                           how: str = "inner") -> DataFrame:
     """Points with the hourly observations of their coordinates and day.
 
     An hour that was observed more than once counts once (lowest `order`). `by` spreads the
-    points of a place and day that holds very many of them.
+    points of a place and day that holds very many of them. With `how='left'` a point without an
+    observation keeps one row, without values.
     """
     lowest = first_per_key(observations, [*PLACE_DAY, time], list(order))
-    return skew_join(points, lowest, PLACE_DAY, by)
+    return skew_join(points, lowest, PLACE_DAY, by, how)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talusflow.operators.skew import skew_join
 from talusflow.session import shared_path
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the in-partition position in these bits
@@ -43,6 +44,43 @@ def with_row_index(df: DataFrame, order_by: list[str], name: str = "row_index",
     )
 
 
+def with_number_per_key(df: DataFrame, key: str, order_by: list[str], name: str = "number",
+                        start: int = 1) -> DataFrame:
+    """Dense consecutive numbers within each key, in the order of `order_by`.
+
+    The whole table is numbered along (key, order) and each key's first number is taken off, so a
+    key with a third of all rows is numbered by many tasks. Rows without a key are numbered among
+    themselves.
+    """
+    numbered = with_row_index(df, [key, *order_by], "_pos")
+    first = numbered.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_pos").alias("_first"))
+    # Rows without a key are ordered first, from 0 on.
+    return skew_join(numbered, first, [key], ["_pos"], "left").select(
+        *df.columns, (F.col("_pos") - F.coalesce("_first", F.lit(0)) + F.lit(start)).alias(name))
+
+
+def running_totals(df: DataFrame, order_by: list[str], totals: dict[str, str]) -> DataFrame:
+    """Add for each `new name: column` the sum of the column over all rows before this one.
+
+    A range shuffle orders the table, each written part is summed by its own task, and the parts'
+    sums (one row per part) are carried on, so no task holds more than its part.
+    """
+    path = shared_path(df.sparkSession, "running")
+    numbered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn(
+        "_id", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = df.sparkSession.read.schema(numbered.schema).parquet(path).withColumn(
+        "_part", F.shiftright("_id", _POSITION_BITS))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()]).select(
+        "_part", *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in totals])
+    inside = Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns({
+        n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in totals.items()
+    }).join(F.broadcast(parts), "_part").select(
+        *df.columns, *[(F.col(n) + F.col(f"_before_{n}")).alias(n) for n in totals])
+
+
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str | Column]) -> DataFrame:
     """The first row of each key. Spark keeps one row per key and task before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order_by)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from talusflow.operators.indexing import running_totals
 from talusflow.operators.regions import assign_region, filter_region
 from talusflow.schemas import (
     LOGREG_PARAMS,
@@ -98,8 +99,9 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def score_regions(features: DataFrame, models: dict[str, PipelineModel],
-                  regions: Sequence[Region] = REGIONS) -> DataFrame | None:
-    """Each row scored by the model of its region; rows outside all boxes are not scored.
+                  regions: Sequence[Region] = REGIONS, keep_unmatched: bool = False
+                  ) -> DataFrame | None:
+    """Each row scored by the model of its region; rows outside all boxes go, or stay without a score.
 
     The features are read once: every model scores the routed rows, and each row keeps the score
     of its own region. One more dot product per region is cheaper than a second feature plan.
@@ -107,7 +109,7 @@ def score_regions(features: DataFrame, models: dict[str, PipelineModel],
     served = [r for r in regions if r.name in models]
     if not served:
         return None
-    routed = assign_region(features, served)
+    routed = assign_region(features, served, keep_unmatched=keep_unmatched)
     for i, region in enumerate(served):
         routed = score(routed, models[region.name]).withColumnsRenamed(
             {"probability": f"_probability_{i}", "prediction": f"_prediction_{i}"})
@@ -119,6 +121,46 @@ def score_regions(features: DataFrame, models: dict[str, PipelineModel],
     return routed.select(*features.columns, "region", own("probability"), own("prediction"))
 
 
+def evaluate_groups(scores: DataFrame, group: str, label: str = "label",
+                    prediction: str = "prediction", probability: str = "probability") -> DataFrame:
+    """One row per group: n_rows, n_positive, accuracy, precision, recall and the area under its ROC curve.
+
+    The area is the share of (positive, negative) pairs in which the positive scores higher, ties
+    counting half. Equal scores of a group are counted first; the negatives below each score come
+    from running totals over parts of the ordered scores, so no task holds a group, and all groups
+    share the one pass. NULL where a group has one label only.
+    """
+    want, got = F.col(label) == 1, F.col(prediction) == 1
+    counts = scores.groupBy(F.col(group).alias("_group"), F.col(probability).alias("_score")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(want).alias("_pos"), F.count_if(~want).alias("_neg"),
+        F.count_if(want == got).alias("_hit"), F.count_if(got).alias("_got"),
+        F.count_if(want & got).alias("_both"))
+    placed = running_totals(counts, ["_group", "_score"], {"_below": "_neg"})
+    wide = {c: F.col(c).cast("decimal(18,0)") for c in ("_pos", "_neg", "_below")}
+    # twice the pairs won, counted from the first negative of the first group
+    totals = placed.groupBy("_group").agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_pos", "_neg", "_hit", "_got", "_both")],
+        F.sum(wide["_pos"] * (wide["_below"] * 2 + wide["_neg"])).alias("_won"),
+        F.min("_below").alias("_before"))
+    won = F.col("_won") - wide["_pos"] * F.col("_before").cast("decimal(18,0)") * 2
+    pairs = F.col("_pos").cast("double") * F.col("_neg").cast("double") * 2
+    return totals.select(
+        F.col("_group").alias(group), F.col("_n").alias("n_rows"), F.col("_pos").alias("n_positive"),
+        (F.col("_hit") / F.col("_n")).alias("accuracy"),
+        F.try_divide("_both", "_got").alias("precision"), F.try_divide("_both", "_pos").alias("recall"),
+        F.try_divide(won.cast("double"), pairs).alias("area"))
+
+
+def train_evaluation(features: DataFrame, models: dict[str, PipelineModel],
+                     regions: Sequence[Region] = REGIONS, key: str = "event_id") -> DataFrame:
+    """One row per region: its training rows, and how its model does on the test share of its events."""
+    scored = score_regions(with_split(features, key), models, regions)
+    trained = scored.where("split = 'train'").groupBy("region").agg(F.count(F.lit(1)).alias("n_train"))
+    tested = evaluate_groups(scored.where("split = 'test'"), "region")
+    # A row per region on both sides.
+    return trained.join(tested, "region", "left")
+
+
 def join_scores(scores: DataFrame, metadata: DataFrame, key: str = "Index") -> DataFrame:
     """Full outer join of scores and point descriptions."""
     return scores.join(metadata, key, "full")

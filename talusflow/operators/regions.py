@@ -51,9 +51,10 @@ def assign_region(df: DataFrame, regions: Sequence[Region] = REGIONS, inclusive:
 
 
 def occurrence_grid(df: DataFrame, degrees: float = 10.0, longitude: str = "longitude",
-                    latitude: str = "latitude") -> DataFrame:
-    """Number of points per grid cell."""
-    return df.groupBy(
+                    latitude: str = "latitude", regions: Sequence[Region] = REGIONS) -> DataFrame:
+    """Number of points per region and grid cell; points outside all regions have none (NULL)."""
+    return assign_region(df, regions, True, longitude, latitude, keep_unmatched=True).groupBy(
+        "region",
         F.floor(F.col(longitude).cast("double") / degrees).alias("cell_x"),
         F.floor(F.col(latitude).cast("double") / degrees).alias("cell_y"),
     ).agg(F.count(F.lit(1)).alias("n_points"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talusflow.operators.indexing import moving
+from talusflow.operators.indexing import moving, running_totals
 from talusflow.operators.skew import hot_keys, salted_join, skew_join
+from talusflow.session import stored
 
 
 def noise_filter(df: DataFrame, sensor: str, order_by: list[str], value: str,
@@ -26,8 +27,12 @@ def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def with_group_stats(df: DataFrame, keys: list[str], value: str, by: list[str]) -> DataFrame:
-    """Each row with the statistics of its group (NULL without a key); very large groups are joined in parts."""
-    stats = group_stats(df, keys, value)
+    """Each row with the statistics of its group (NULL without a key); very large groups are joined in parts.
+
+    The statistics, one row per group, are written once: finding the large groups and joining both
+    read them, and not the table again.
+    """
+    stats = stored(group_stats(df, keys, value), "group-stats")
     return salted_join(df, stats, keys, by, hot_keys(stats, keys, "n"), "left")
 
 
@@ -57,20 +62,33 @@ def outlier_filter(df: DataFrame, sensor: str, value: str, by: list[str],
     return joined.where(F.coalesce(near, F.lit(True))).select(*df.columns)
 
 
+def ranked_counts(counts: DataFrame, groups: list[str], value: str, by: list[str]) -> DataFrame:
+    """Counted values with `_upto`, the rows of their group up to and with this value, and `_n`, all its rows.
+
+    `counts` has `_c` rows per group and value. Running totals over parts of the ordered table give
+    the rows before each value; a group's own start is taken off. A group with very many values lies
+    in many parts, and no task holds more than its part. Groups without a key are left out.
+    """
+    for key in groups:
+        counts = counts.where(F.col(key).isNotNull())
+    placed = running_totals(counts, [*groups, value], {"_before": "_c"})
+    starts = placed.groupBy(*groups).agg(F.min("_before").alias("_start"), F.sum("_c").alias("_n"),
+                                         F.count(F.lit(1)).alias("_values"))
+    starts = stored(starts, "group-starts")
+    joined = salted_join(placed, starts.drop("_values"), groups, by, hot_keys(starts, groups, "_values"))
+    return joined.withColumn("_upto", F.col("_before") - F.col("_start") + F.col("_c")).drop("_before", "_start")
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str,
                     probabilities: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles per group, named as in `probabilities`.
+    """Interpolated quantiles per group, named as in `probabilities`; rows without a key have none.
 
-    Equal values are counted before the shuffle, so a task sees the distinct values of a group
-    and not its rows. `value` should be a decimal of the warehouse: DECIMAL(5,2) has 199,999
-    values and DECIMAL(6,3) just under two million, which bounds the window.
+    Equal values are counted before the shuffle, and the counts ranked by `ranked_counts`, so a
+    group of any number of rows and values spreads over many tasks.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         F.count(F.lit(1)).alias("_c"))
-    group = Window.partitionBy(*keys)
-    ranked = counts.withColumn(
-        "_upto", F.sum("_c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_n", F.sum("_c").over(group))
+    ranked = ranked_counts(counts, keys, value, [value])
     aggregates, results = [], []
     for name, p in probabilities.items():
         position = (F.col("_n") - 1) * F.lit(p)
@@ -101,7 +119,7 @@ def metric_statistics(facts: DataFrame, keys: list[str], metrics: dict[str, str]
     """Count, mean, deviation, range and quartiles of each metric per group.
 
     `metrics` maps each metric to its decimal type. Values are counted per group first; every
-    statistic then comes from the counts.
+    statistic then comes from the counts. Rows without a key are left out.
     """
     long = facts.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast(kind).cast("decimal(9,3)").alias("v"))
@@ -109,10 +127,7 @@ def metric_statistics(facts: DataFrame, keys: list[str], metrics: dict[str, str]
     ]))).where(F.col("v").isNotNull())
     groups = [*keys, "metric"]
     counts = long.groupBy(*groups, "v").agg(F.count(F.lit(1)).alias("_c"))
-    window = Window.partitionBy(*groups)
-    ranked = counts.withColumn(
-        "_upto", F.sum("_c").over(window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_n", F.sum("_c").over(window))
+    ranked = ranked_counts(counts, groups, "v", ["v"])
 
     def at(index):
         return F.min(F.when(F.col("_upto") > index, F.col("v"))).cast("double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,8 +64,25 @@ def without_loaded(hours: DataFrame, loaded: DataFrame,
     return hours.join(loaded.select(*keys), keys, "left_anti")
 
 
-def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None
-              ) -> dict[str, DataFrame]:
+def keyed_hours(staged: DataFrame, event_keys: DataFrame) -> DataFrame:
+    """The hourly rows of the blocks with the keys of their fact: the one join of a load's hours.
+
+    A block holds at most one fact per hour, so fact and datetime keys follow from the event key
+    and the hour. Rows of the weather, datetime and soil tables are projections of this.
+    """
+    hour = F.hour("datetime")
+    block_index = F.col("event_id") - 1
+    return (
+        staged.join(event_keys.drop("datetime_id"), BLOCK_KEYS)
+        .withColumn("fact_id", block_index * HOURS + hour + 1)
+        .withColumn("datetime_id", block_index * (HOURS + 1) + hour + 2)
+        .select("fact_id", "location_id", "datetime_id", "datetime", "year", "month", "date",
+                "timezone", *METRIC_NAMES)
+    )
+
+
+def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None,
+              store: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """Rows to append to each warehouse table, and `event_keys` with the keys of every block.
 
     Only events and new places get numbered positions. A block holds at most one fact per hour,
@@ -71,6 +90,10 @@ def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None
     datetime keys (its own and one per hour), 24 fact keys and 96 soil keys. That needs no
     shuffle of the hourly rows beyond the join to their event, and gives the numbers a serial
     load of complete blocks would.
+
+    Three tables are made of the hourly rows. `store` gets those rows with their keys and returns
+    what the tables are taken from: a load that writes all tables stores them, and so joins and
+    shuffles the hours once; a caller who needs one table leaves them a plan.
     """
     existing = existing or {
         name: _empty(staged.sparkSession, name) for name in ("location", "landslide_event")
@@ -87,14 +110,7 @@ def load_star(staged: DataFrame, existing: dict[str, DataFrame] | None = None
     )
     event_keys = events.select(*BLOCK_KEYS, "event_id", "location_id", "datetime_id")
 
-    hour = F.hour("datetime")
-    facts = (
-        staged.join(event_keys.drop("datetime_id"), BLOCK_KEYS)
-        .withColumn("fact_id", block_index * HOURS + hour + 1)
-        .withColumn("datetime_id", block_index * (HOURS + 1) + hour + 2)
-        .select("fact_id", "location_id", "datetime_id", "datetime", "year", "month", "date",
-                "timezone", *METRIC_NAMES)
-    )
+    facts = store(keyed_hours(staged, event_keys))
     event_times = events.select("datetime_id", "date", "time", "timezone", "month", "year")
     fact_times = facts.select(
         "datetime_id", "date", F.date_format("datetime", "HH:mm:ss").alias("time"), "timezone",

@@ -269,7 +269,10 @@ def region_route(spark, sf_dir):
 
 
 @query("occurrence_grid",
-       "SELECT CAST(floor(CAST(longitude AS DOUBLE) / 10) AS BIGINT) AS cell_x, "
+       "SELECT CASE "
+       + " ".join(f"WHEN longitude BETWEEN {r.min_longitude} AND {r.max_longitude} AND latitude BETWEEN "
+                  f"{r.min_latitude} AND {r.max_latitude} THEN '{r.name}'" for r in REGIONS)
+       + " END AS region, CAST(floor(CAST(longitude AS DOUBLE) / 10) AS BIGINT) AS cell_x, "
        "CAST(floor(CAST(latitude AS DOUBLE) / 10) AS BIGINT) AS cell_y, count(*) AS n_points "
        f"FROM ({PLACED}) GROUP BY ALL")
 def occurrence_grid(spark, sf_dir):

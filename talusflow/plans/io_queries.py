@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talusflow.operators import features as feat
 from talusflow.operators import ml
 from talusflow.plans import proxy
-from talusflow.plans.jobs import enrich_points, score_points, training_features
+from talusflow.plans.jobs import enrich_points, outline_scorer, training_features
 from talusflow.plans.registry import VIEWS, query
-from talusflow.schemas import CATALOGUE_RAW, HOURLY_FILE, RAW_METRIC_NAMES, WAREHOUSE
+from talusflow.schemas import CATALOGUE_RAW, HOURLY_FILE, POINT_RECORD, RAW_METRIC_NAMES, REGIONS, WAREHOUSE
 from talusflow.session import shared_path
 from talusflow.sources import files, sinks
 from talusflow.sources.warehouse import load_table
@@ -21,14 +22,47 @@ POINT_PLACE = ("CAST(longitude_info AS DOUBLE) AS longitude_info, "
                "CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month")
 
 
-@query("scan_warehouse",
-       "SELECT fact_id, location_id, datetime_id, CAST(temperature AS DOUBLE) AS temperature, "
-       "CAST(precipitation AS DOUBLE) AS precipitation, CAST(rain AS DOUBLE) AS rain, "
-       "CAST(relative_humidity AS BIGINT) AS relative_humidity FROM weather_data")
-def scan_warehouse(spark, sf_dir):
-    path = shared_path(spark, "warehouse")
-    proxy.weather_data(spark, sf_dir).write.parquet(f"{path}/weather_data")
-    return load_table(spark, "weather_data", path)
+def _scan(table):
+    def run(spark, sf_dir):
+        path = shared_path(spark, "warehouse")
+        _star(spark, sf_dir)[table].write.parquet(f"{path}/{table}")
+        return load_table(spark, table, path)
+    return run
+
+
+def _star(spark, sf_dir):
+    """The five tables with all columns of their declared schemas."""
+    star = proxy.star(spark, sf_dir)
+    place = {"country": "C", "near": "n", "continent": "AS"}
+    star["location"] = star["location"].select(
+        "*", *[F.lit(v).alias(c) for c, v in place.items()], F.col("location_id").cast("int").alias("elevation"))
+    star["datetime"] = star["datetime"].withColumn("time", F.format_string("%02d:00:00", "time"))
+    star["soil"] = star["soil"].withColumn("soil_value_id", F.col("weather_data_id") * 4 + F.when(
+        F.col("depth") == "0 to 7 cm", 0).when(F.col("depth") == "7 to 28 cm", 1).when(
+        F.col("depth") == "28 to 100 cm", 2).otherwise(3))
+    return {name: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WAREHOUSE[name].fields])
+            for name, df in star.items()}
+
+
+query("scan_warehouse",
+      "SELECT fact_id, location_id, datetime_id, CAST(temperature AS DOUBLE) AS temperature, "
+      "CAST(precipitation AS DOUBLE) AS precipitation, CAST(rain AS DOUBLE) AS rain, "
+      "CAST(relative_humidity AS BIGINT) AS relative_humidity FROM weather_data")(_scan("weather_data"))
+query("scan_location",
+      "SELECT location_id, 'C' AS country, 'n' AS near, 'AS' AS continent, "
+      "CAST(location_id AS BIGINT) AS elevation, CAST(longitude AS DOUBLE) AS longitude, "
+      "CAST(latitude AS DOUBLE) AS latitude FROM location")(_scan("location"))
+query("scan_datetime",
+      "SELECT datetime_id, CAST(date AS BIGINT) AS date, lpad(CAST(time AS VARCHAR), 2, '0') || ':00:00' "
+      "AS time, timezone, CAST(month AS BIGINT) AS month, CAST(year AS BIGINT) AS year "
+      "FROM datetime_dim")(_scan("datetime"))
+query("scan_soil",
+      "SELECT weather_data_id * 4 + CASE depth WHEN '0 to 7 cm' THEN 0 WHEN '7 to 28 cm' THEN 1 "
+      "WHEN '28 to 100 cm' THEN 2 ELSE 3 END AS soil_value_id, weather_data_id, depth, "
+      "CAST(temperature AS DOUBLE) AS temperature, CAST(moisture AS DOUBLE) AS moisture FROM soil")(_scan("soil"))
+query("scan_event",
+      "SELECT event_id, location_id, datetime_id, hazard_type, landslide_type, size "
+      "FROM landslide_event")(_scan("landslide_event"))
 
 
 @query("scan_csv_typed", RECORDS)
@@ -48,12 +82,14 @@ def scan_hourly_csv(spark, sf_dir):
     return files.split_corrupt(files.read_csv(spark, path, HOURLY_FILE))[0]
 
 
+VIEWS["outline_days"] = (
+    f"SELECT DISTINCT {proxy.LON} AS longitude, {proxy.LAT} AS latitude, year(ts) AS year, "
+    "month(ts) AS month, day(ts) AS date FROM events WHERE event_type = 'purchase'")
 VIEWS["outline"] = (
     "SELECT longitude, latitude, year, month, date, '00:00:00' AS time, "
     "row_number() OVER (ORDER BY longitude, latitude, year, month, date) - 1 AS point_index FROM "
-    f"(SELECT DISTINCT {proxy.LON} AS longitude, {proxy.LAT} AS latitude, "
-    "year(ts) AS year, month(ts) AS month, day(ts) AS date FROM events "
-    "WHERE event_type = 'purchase')")
+    "(SELECT * FROM outline_days UNION ALL SELECT longitude, latitude, year + 1 AS year, month, date "
+    "FROM outline_days)")
 
 
 @query("weather_enrich",
@@ -62,17 +98,25 @@ VIEWS["outline"] = (
        "CAST(o.year AS BIGINT) AS year, CAST(o.month AS BIGINT) AS month, o.time, "
        "CAST(p.elevation AS BIGINT) AS elevation, "
        "strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS datetime, "
-       f"{', '.join(RAW_METRIC_NAMES)} FROM outline o JOIN points p "
+       f"{', '.join(RAW_METRIC_NAMES)} FROM outline o LEFT JOIN points p "
        "ON p.longitude_info = o.longitude AND p.latitude_info = o.latitude "
        "AND p.year = o.year AND p.month = o.month AND p.date = o.date")
 def weather_enrich(spark, sf_dir):
-    """Each place and day with a purchase, with the observations of that place and day."""
-    outline = proxy.table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
+    """Each place and day with a purchase, with the observations of that place and day, and the same
+    places and days a year later, which nobody observed."""
+    return enrich_points(_outline(spark, sf_dir), _observed(spark, sf_dir))
+
+
+def _outline(spark, sf_dir):
+    days = proxy.table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
         f"{proxy.LON} AS longitude", f"{proxy.LAT} AS latitude", "year(ts) AS year",
         "month(ts) AS month", "day(ts) AS date", "'00:00:00' AS time").distinct()
-    observations = proxy.points(spark, sf_dir).drop("year", "month", "date").withColumnsRenamed(
+    return days.select("*").unionByName(days.withColumn("year", F.col("year") + 1))
+
+
+def _observed(spark, sf_dir):
+    return proxy.points(spark, sf_dir).drop("year", "month", "date").withColumnsRenamed(
         {"longitude_info": "longitude", "latitude_info": "latitude"})
-    return enrich_points(outline, observations)
 
 
 @query("scan_json_records", RECORDS)
@@ -178,37 +222,71 @@ def stream_count_all(spark, sf_dir):
 @query("file_arrival", "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events")
 def file_arrival(spark, sf_dir):
     path = shared_path(spark, "stream")
-    arrivals = stream.file_arrivals(_stream(spark, sf_dir))
-    _finish(stream.write_snapshots(arrivals, f"{path}/files", f"{path}/state"))
-    return stream.latest_snapshot(spark, f"{path}/files")
+    _finish(stream.log_file_arrivals(_stream(spark, sf_dir), f"{path}/files", f"{path}/state"))
+    return spark.read.parquet(f"{path}/files").select("file_name", "n_rows")
 
 
-MESSAGES = ("SELECT event_type AS topic, '{\"message\":\"' || event_type || ' [' || event_id || "
-            "']\"}' AS payload FROM events")
+def _messages_sql(order: str) -> str:
+    return ("SELECT topic, number, '\"' || topic || ' [' || number || ']\"' AS payload FROM "
+            f"(SELECT event_type AS topic, row_number() OVER (PARTITION BY event_type ORDER BY {order}) "
+            "AS number FROM events)")
 
 
-@query("publish_messages", MESSAGES)
+@query("publish_messages", _messages_sql("event_id"))
 def publish_messages(spark, sf_dir):
-    return stream.to_messages(proxy.table(spark, sf_dir, "events"), "event_type", "event_id",
-                              "event_type")
+    return stream.numbered_messages(proxy.table(spark, sf_dir, "events"), "event_type", "event_type",
+                                    ["event_id"])
 
 
-@query("stream_publish", MESSAGES)
+@query("stream_publish", _messages_sql("event_id % 2, event_id"))
 def stream_publish(spark, sf_dir):
+    """Two deliveries; the numbers of a topic run on from the first to the second."""
     path = shared_path(spark, "stream")
-    messages = stream.to_messages(_stream(spark, sf_dir), "event_type", "event_id", "event_type")
-    _finish(stream.write_files(messages, f"{path}/out", f"{path}/state", "json"))
-    return spark.read.schema("topic string, payload string").json(f"{path}/out")
-
-
-@query("stream_score")
+    events = proxy.table(spark, sf_dir, "events").select(*EVENTS.fieldNames())
+    for rest in (0, 1):
+        events.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{path}/landing")
+        arriving = stream.read_points_stream(spark, f"{path}/landing", EVENTS, "parquet")
+        _finish(stream.publish_stream(arriving, "event_type", "event_type", ["event_id"], f"{path}/out",
+                                      f"{path}/state"))
+    return spark.read.parquet(f"{path}/out").select("topic", "number", "payload")
+
+
+# Two deliveries of points: those north of the equator, then all of them. A point is scored when its
+# day is over for a day, by the newest observation of any point that has arrived.
+IN_A_REGION = " ".join(
+    f"WHEN longitude BETWEEN {r.min_longitude} AND {r.max_longitude} AND latitude BETWEEN "
+    f"{r.min_latitude} AND {r.max_latitude} THEN '{r.name}'" for r in REGIONS)
+
+
+VIEWS["numbered_outline"] = (
+    "SELECT *, row_number() OVER (ORDER BY latitude < 0, longitude, latitude, year, month, date) - 1 "
+    'AS "Index" FROM outline')
+VIEWS["outline_hours"] = (
+    'SELECT "Index", count(DISTINCT hour(p.ts)) AS n_hours, max(p.ts) AS last FROM numbered_outline o '
+    "LEFT JOIN points p ON p.longitude_info = o.longitude AND p.latitude_info = o.latitude "
+    "AND p.year = o.year AND p.month = o.month AND p.date = o.date GROUP BY \"Index\"")
+
+
+@query("stream_score",
+       'SELECT "Index", CAST(longitude AS DOUBLE) AS longitude_info, '
+       "CAST(latitude AS DOUBLE) AS latitude_info, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, "
+       f"CAST(date AS BIGINT) AS date, n_hours, CASE {IN_A_REGION} END AS region, "
+       f"n_hours > 0 AND CASE {IN_A_REGION} END IS NOT NULL AS scored "
+       'FROM numbered_outline JOIN outline_hours USING ("Index") '
+       "WHERE n_hours = 24 OR make_timestamp(year, month, date, 0, 0, 0) + INTERVAL 1 DAY "
+       "<= (SELECT max(last) - INTERVAL 1 DAY FROM outline_hours)")
 def stream_score(spark, sf_dir):
-    """Point files scored as they arrive."""
+    """Points from landing files, enriched, gated, routed and scored as they arrive."""
     path = shared_path(spark, "stream")
-    landing = proxy.points(spark, sf_dir)
-    landing.write.parquet(f"{path}/landing")
+    outline = _outline(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in
+                                               POINT_RECORD.fields if f.name != "country"])
     models = ml.train_per_region(training_features(proxy.star(spark, sf_dir)))
-    incoming = stream.read_points_stream(spark, f"{path}/landing", landing.schema, "parquet")
-    _finish(stream.score_stream(incoming, lambda batch: score_points(batch, models),
-                                f"{path}/scores", f"{path}/state"))
-    return spark.read.parquet(f"{path}/scores").drop("batch_id")
+    score = outline_scorer(spark, _observed(spark, sf_dir), models, f"{path}/state")
+    for arrived in (outline.where("latitude >= 0"), outline):
+        arrived.write.mode("append").json(f"{path}/landing")
+        points = stream.read_points_stream(spark, f"{path}/landing", POINT_RECORD)
+        _finish(stream.score_stream(points, score, f"{path}/scores", f"{path}/offsets"))
+    scores = spark.read.parquet(f"{path}/scores")
+    in_range = F.col("probability").between(0, 1)
+    return scores.select("Index", *feat.POINT_INFO[:2], "year", "month", "date", "n_hours", "region",
+                         F.coalesce(in_range, F.lit(False)).alias("scored"))

@@ -6,12 +6,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from talusflow.functions.text import tokens
+from talusflow.operators import features as feat
 from talusflow.operators import ml
 from talusflow.operators.statistics import risk_trigger
 from talusflow.plans import proxy
 from talusflow.plans.jobs import score_points, training_features
 from talusflow.plans.registry import VIEWS, query
-from talusflow.session import shared_path
+from talusflow.schemas import REGIONS
+from talusflow.session import shared_path, stored
 from talusflow.sources.sinks import load_model, save_model
 
 BUCKET_SQL = ("CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':42'), 1, 8)) AS UBIGINT) "
@@ -35,14 +37,12 @@ def split_counts(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"))
 
 
-def _summary(model):
-    """Expressions that describe a fitted classifier."""
-    stage = model.stages[-1]
-    return {
-        "n_features": F.lit(int(stage.numFeatures)),
-        "n_nonzero": F.lit(int(stage.coefficients.numNonzeros())),
-        "intercept": F.lit(round(float(stage.intercept), 6)),
-    }
+def _flags(threshold=0.5):
+    """What SQL can say of a score: it lies between 0 and 1, and decides the prediction."""
+    score = F.col("probability")
+    decided = (F.col("prediction") == 1) == (score > threshold)
+    return {"in_range": F.coalesce(score.between(0, 1), F.lit(False)),
+            "decided": F.coalesce(decided | (score == threshold), F.lit(False))}
 
 
 def _embeddings(spark, sf_dir):
@@ -52,44 +52,112 @@ def _embeddings(spark, sf_dir):
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
-@query("train_logreg")
+@query("train_logreg",
+       "SELECT vec_id, CAST(label >= 5 AS BIGINT) AS label, CAST(64 AS BIGINT) AS n_features, true AS in_range, "
+       "true AS decided, CASE WHEN " + BUCKET_SQL.format(key="vec_id") + " < 8000 THEN 'train' "
+       "ELSE 'test' END AS split FROM embeddings")
 def train_logreg(spark, sf_dir):
-    """The scores of every vector under a model trained on the training share."""
+    """Every vector, scored by a model that was trained on the training share."""
     rows = _embeddings(spark, sf_dir)
     train, _ = ml.train_test_split(rows, "vec_id")
     model = ml.train_classifier(train)
-    scored = ml.score(rows, model)
-    return scored.select("vec_id", "label", "probability", "prediction").withColumns(
-        _summary(model))
+    scored = ml.with_split(ml.score(rows, model), "vec_id").withColumns(_flags())
+    return scored.select("vec_id", "label", F.lit(int(model.stages[-1].numFeatures)).alias("n_features"),
+                         "in_range", "decided", "split")
 
 
-@query("train_per_region")
+# Events with a feature vector, in the regions of their places.
+IN_A_REGION = " ".join(
+    f"WHEN longitude BETWEEN {r.min_longitude} AND {r.max_longitude} AND latitude BETWEEN "
+    f"{r.min_latitude} AND {r.max_latitude} THEN '{r.name}'" for r in REGIONS)
+VIEWS["trained_events"] = (
+    f"SELECT event_id, max(label) AS label, any_value(CASE {IN_A_REGION} END) AS region "
+    f"FROM deduped JOIN location USING (location_id) WHERE CASE {IN_A_REGION} END IS NOT NULL GROUP BY event_id")
+
+
+@query("train_per_region",
+       "SELECT event_id, region, CAST(label AS BIGINT) AS label, true AS in_range, true AS decided "
+       "FROM trained_events")
 def train_per_region(spark, sf_dir):
     """The events of each region under the model of their own region."""
     features = training_features(proxy.star(spark, sf_dir))
     models = ml.train_per_region(features)
-    scored = ml.score_regions(features, models)
-    return scored.select("event_id", "region", "label", "probability", "prediction")
+    scored = ml.score_regions(features, models).withColumns(_flags())
+    return scored.select("event_id", "region", "label", "in_range", "decided")
+
+
+EVENT_BUCKET = BUCKET_SQL.format(key="event_id")
+
+
+@query("train_evaluation",
+       f"SELECT region, count(*) FILTER (WHERE {EVENT_BUCKET} < 8000) AS n_train, "
+       f"count(*) FILTER (WHERE {EVENT_BUCKET} >= 8000) AS n_rows, "
+       f"count(*) FILTER (WHERE {EVENT_BUCKET} >= 8000 AND label = 1) AS n_positive, true AS measured "
+       "FROM trained_events GROUP BY region")
+def train_evaluation(spark, sf_dir):
+    """How each region's model does on its test share: one row per region."""
+    features = stored(training_features(proxy.star(spark, sf_dir)), "features")
+    found = ml.train_evaluation(features, ml.train_per_region(features))
+    measured = F.lit(True)
+    for name in ("accuracy", "area"):
+        measured = measured & F.col(name).between(0, 1)
+    return found.select("region", "n_train", "n_rows", "n_positive", measured.alias("measured"))
+
+
+VIEWS["region_scores"] = (
+    "SELECT event_id, event_type AS region, CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS label, "
+    "CAST((event_id * 7919) % 1009 AS DOUBLE) / 1009 AS probability FROM events")
 
 
-@query("score_region")
+@query("evaluate_groups",
+       "SELECT region, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, "
+       "count(*) FILTER (WHERE (label = 1) = (probability >= 0.5)) / count(*) AS accuracy, "
+       "count(*) FILTER (WHERE label = 1 AND probability >= 0.5) "
+       "/ count(*) FILTER (WHERE probability >= 0.5) AS precision, "
+       "count(*) FILTER (WHERE label = 1 AND probability >= 0.5) / count(*) FILTER (WHERE label = 1) AS recall, "
+       "round(sum(CASE WHEN label = 1 THEN upto - ties / 2.0 ELSE 0 END) "
+       "/ (CAST(sum(label) AS DOUBLE) * (count(*) - sum(label))), 6) AS area FROM "
+       "(SELECT *, CAST(sum(1 - label) OVER (PARTITION BY region ORDER BY probability RANGE BETWEEN UNBOUNDED "
+       "PRECEDING AND CURRENT ROW) AS DOUBLE) AS upto, "
+       "sum(1 - label) OVER (PARTITION BY region, probability) AS ties FROM region_scores) GROUP BY region")
+def evaluate_groups(spark, sf_dir):
+    """Given scores of five groups, evaluated in one pass."""
+    scores = proxy.table(spark, sf_dir, "events").selectExpr(
+        "event_type AS region", "CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS label",
+        "CAST((event_id * 7919) % 1009 AS DOUBLE) / 1009 AS probability",
+    ).withColumn("prediction", (F.col("probability") >= 0.5).cast("double"))
+    return ml.evaluate_groups(scores, "region").withColumn("area", F.round("area", 6))
+
+
+@query("score_region",
+       'SELECT point_id AS "Index", any_value(CAST(longitude_info AS DOUBLE)) AS longitude_info, '
+       "any_value(CAST(latitude_info AS DOUBLE)) AS latitude_info, any_value(CAST(date AS BIGINT)) AS date, "
+       "any_value(CAST(year AS BIGINT)) AS year, any_value(CAST(month AS BIGINT)) AS month, "
+       "any_value(CAST(elevation AS BIGINT)) AS elevation, any_value(time) AS time, "
+       "count(DISTINCT hour(ts)) AS n_hours, "
+       f"any_value(CASE {IN_A_REGION} END) AS region, any_value(CASE {IN_A_REGION} END) IS NOT NULL AS scored "
+       "FROM (SELECT *, longitude_info AS longitude, latitude_info AS latitude FROM points) GROUP BY point_id")
 def score_region(spark, sf_dir):
-    """All points with their scores; points outside the regions have none."""
+    """All points under the model of their region; points outside the regions have no score."""
     models = ml.train_per_region(training_features(proxy.star(spark, sf_dir)))
-    return score_points(proxy.points(spark, sf_dir), models)
+    scored = score_points(proxy.points(spark, sf_dir), models).withColumns(_flags())
+    return scored.select("Index", *feat.POINT_INFO, "n_hours", "region",
+                         (F.col("in_range") & F.col("decided")).alias("scored"))
 
 
-@query("sink_model")
+@query("sink_model", "SELECT event_id, region, true AS equal FROM trained_events")
 def sink_model(spark, sf_dir):
-    """Scores of models that were saved and loaded again."""
-    features = training_features(proxy.star(spark, sf_dir))
+    """Models that were saved and loaded again give each event the score of the fitted ones."""
+    features = stored(training_features(proxy.star(spark, sf_dir)), "features")
     root = shared_path(spark, "models")
     models = ml.train_per_region(features)
     for name, model in models.items():
         save_model(model, root, name, "2024-02-01")
     loaded = {name: load_model(root, name, "2024-02-01") for name in models}
-    return ml.score_regions(features, loaded).groupBy("region", "prediction").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    fitted = ml.score_regions(features, models).select("event_id", "region", "probability")
+    again = ml.score_regions(features, loaded).select("event_id", F.col("probability").alias("_again"))
+    return fitted.join(again, "event_id").select(
+        "event_id", "region", (F.col("probability") == F.col("_again")).alias("equal"))
 
 
 # A given score table: any two columns in [0, 1] of the same rows.
@@ -150,12 +218,14 @@ def tokenize_lower(spark, sf_dir):
     return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("text_classifier")
+@query("text_classifier",
+       "SELECT doc_id, CAST(l.quality AS DOUBLE) AS label, true AS in_range, true AS decided "
+       "FROM documents JOIN labels l USING (doc_id)")
 def text_classifier(spark, sf_dir):
-    """Scores of the labelled documents under the word-count model."""
+    """The labelled documents under the word-count model."""
     texts = proxy.table(spark, sf_dir, "documents").join(
         proxy.table(spark, sf_dir, "labels"), "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"))
-    model = ml.train_text_classifier(texts)
-    return model.transform(texts).select(
-        "doc_id", "label", vector_to_array("probability")[1].alias("probability"), "prediction")
+    scored = ml.train_text_classifier(texts).transform(texts)
+    return scored.withColumn("probability", vector_to_array("probability")[1]).withColumns(_flags()).select(
+        "doc_id", "label", "in_range", "decided")

@@ -13,7 +13,7 @@ from talusflow.operators.indexing import head_share, positional_splits
 from talusflow.operators.reshape import explode_hourly
 from talusflow.plans import proxy
 from talusflow.plans.registry import METRICS_SQL, VIEWS, query
-from talusflow.schemas import DEPTHS, METRIC_NAMES, TableRules
+from talusflow.schemas import DEPTHS, METRIC_NAMES, RULES, TableRules
 
 # --- Catalogue ---------------------------------------------------------------------------
 
@@ -435,3 +435,78 @@ def check_foreign_key_report(spark, sf_dir):
                                    proxy.table(spark, sf_dir, "orders"), "o_orderkey")
     return orphans.agg(F.count(F.lit(1)).alias("n_orphans"),
                        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+
+
+# A load that sends a tenth of the stored facts again, repeats some of its own, lacks some of its
+# places and times, and has humidity beyond 100 and a missing temperature here and there.
+LOAD = {
+    "weather_data": (
+        "event_id % 10 < 7", "event_id % 10 >= 6",
+        ["event_id AS fact_id", "user_id AS location_id", "event_id AS datetime_id",
+         "CAST(CASE WHEN event_id % 40 = 7 THEN NULL ELSE value END AS DECIMAL(5,2)) AS temperature",
+         "CAST(event_id % 50 AS DECIMAL(5,2)) AS precipitation", "CAST(event_id % 40 AS DECIMAL(5,2)) AS rain",
+         "CAST(event_id % 103 AS SMALLINT) AS relative_humidity"]),
+    "datetime": (
+        "event_id % 10 < 7", "event_id % 10 >= 7 AND event_id % 200 <> 9",
+        ["event_id AS datetime_id", "CAST(day(ts) AS SMALLINT) AS date",
+         "CASE WHEN hour(ts) < 10 THEN CONCAT('0', CAST(hour(ts) AS VARCHAR(2)), ':00:00') "
+         "ELSE CONCAT(CAST(hour(ts) AS VARCHAR(2)), ':00:00') END AS time",
+         "event_type AS timezone", "CAST(month(ts) + event_id % 13 AS SMALLINT) AS month",
+         "CAST(year(ts) AS INT) AS year"]),
+}
+TWICE = "event_id % 100 = 8"
+VIEWS["load_weather"] = (
+    f"SELECT {', '.join(LOAD['weather_data'][2])} FROM events WHERE {LOAD['weather_data'][1]} UNION ALL "
+    f"SELECT {', '.join(LOAD['weather_data'][2])} FROM events WHERE {TWICE}")
+VIEWS["load_datetime"] = f"SELECT {', '.join(LOAD['datetime'][2])} FROM events WHERE {LOAD['datetime'][1]}"
+VIEWS["load_places"] = (
+    f"SELECT DISTINCT user_id AS location_id, {proxy.LON} AS longitude, {proxy.LAT} AS latitude FROM events "
+    "WHERE user_id % 11 <> 5")
+VIEWS["known_facts"] = f"SELECT event_id AS fact_id FROM events WHERE {LOAD['weather_data'][0]}"
+VIEWS["known_times"] = f"SELECT event_id AS datetime_id FROM events WHERE {LOAD['datetime'][0]}"
+
+
+def _line_sql(table: str, column: str, rule: str, test: str, source: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, count(*) AS n_rows, "
+            f"count(*) FILTER (WHERE {test}) AS n_violations FROM {source}")
+
+
+def _audit_sql() -> str:
+    found = []
+    for table, source in (("location", "load_places"), ("datetime", "load_datetime"), ("weather_data", "load_weather")):
+        rules = RULES[table]
+        found += [_line_sql(table, c, "range", f"{c} NOT BETWEEN {low} AND {high}", source)
+                  for c, (low, high) in rules.ranges.items()]
+        null = {c: "elevation" if c == "elevation" else c for c in rules.not_null}
+        found += [_line_sql(table, c, "not_null", "true" if table == "location" and c == "elevation"
+                            else f"{null[c]} IS NULL", source) for c in rules.not_null]
+        found += [_line_sql(table, c, "length", "false" if table == "location" else f"length({c}) > {n}", source)
+                  for c, n in rules.max_length.items()]
+        key = rules.primary_key[0]
+        found.append(_line_sql(table, key, "primary_key",
+                               f"{key} IN (SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1)", source))
+    found.append(_line_sql("weather_data", "fact_id", "taken_key", "fact_id IN (SELECT fact_id FROM known_facts)",
+                           "load_weather"))
+    found.append(_line_sql("datetime", "datetime_id", "taken_key",
+                           "datetime_id IN (SELECT datetime_id FROM known_times)", "load_datetime"))
+    found.append(_line_sql("weather_data", "location_id", "foreign_key",
+                           "location_id NOT IN (SELECT location_id FROM load_places)", "load_weather"))
+    found.append(_line_sql("weather_data", "datetime_id", "foreign_key",
+                           "datetime_id NOT IN (SELECT datetime_id FROM load_datetime UNION "
+                           "SELECT datetime_id FROM known_times)", "load_weather"))
+    return " UNION ALL ".join(found)
+
+
+@query("load_audit", _audit_sql())
+def load_audit(spark, sf_dir):
+    events = proxy.table(spark, sf_dir, "events")
+    tables = {name: (events.where(known).selectExpr(*columns), events.where(sent).selectExpr(*columns))
+              for name, (known, sent, columns) in LOAD.items()}
+    repeated = events.where(TWICE).selectExpr(*LOAD["weather_data"][2])
+    places = proxy.location(spark, sf_dir).where("location_id % 11 <> 5").selectExpr(
+        "location_id", "'C' AS country", "'n' AS near", "'AS' AS continent", "CAST(NULL AS INT) AS elevation",
+        "longitude", "latitude")
+    new = {"location": places, "datetime": tables["datetime"][1],
+           "weather_data": tables["weather_data"][1].unionByName(repeated)}
+    before = {name: known for name, (known, _) in tables.items()}
+    return qc.load_audit(new, before, RULES)

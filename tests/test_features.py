@@ -127,6 +127,28 @@ def test_hot_days_give_the_same_result(spark, monkeypatch):
     assert sorted(map(str, feat.dedup_event_hour(labelled, facts).collect())) == joined
 
 
+def test_a_hot_day_copies_its_packed_row_and_no_fact(spark, monkeypatch):
+    events = events_frame(spark, [(i, 1, 5, None) for i in range(300)] + [(900, 1, 6, "fall")])
+    facts = facts_frame(spark, day_of_facts(1, 5, 100) + day_of_facts(1, 5, 200) + day_of_facts(1, 6, 300))
+    copied, hot_tables = [], []
+    original_hot, original_replicate = skew.hot_keys, skew.replicate
+
+    def sharp(counts, keys, rows, parts=20, floor=1):
+        hot_tables.append(original_hot(counts, keys, rows, parts=20, floor=1))
+        return hot_tables[-1]
+
+    def replicate(df, hot, keys):
+        copied.append(original_replicate(df, hot, keys))
+        return copied[-1]
+
+    monkeypatch.setattr(skew, "hot_keys", sharp)
+    monkeypatch.setattr(skew, "replicate", replicate)
+    rows = feat.event_sequences(events, facts).collect()
+    assert len(rows) == 301 and all(r.n_hours == 24 for r in rows)
+    salts = sum(r._salts for r in hot_tables[0].collect())
+    assert salts > 1 and copied[0].count() == 1 + salts  # the other day, and the hot one per salt
+
+
 def test_predict_sequences_take_the_first_row_of_an_hour(spark):
     rows = [(7, f"2024-01-01 {h:02d}:{m:02d}:00", float(h * 100 + m)) for h in range(24)
             for m in (30, 10)]

@@ -134,3 +134,35 @@ def test_outliers(spark):
 def test_trigger_includes_the_threshold(spark):
     df = spark.createDataFrame([(0.69,), (0.7,), (None,)], "probability double")
     assert [r[0] for r in st.risk_trigger(df, 0.7).collect()] == [0.7]
+
+
+def test_running_totals_and_numbers_per_key(spark):
+    rows = [(i, "hot" if i % 3 else None if i % 5 == 0 else "c", i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, k string, w int").repartition(9)
+    got = {r.id: r.before for r in ix.running_totals(df, ["id"], {"before": "w"}).collect()}
+    assert got == {i: sum(j % 4 for j in range(i)) for i in range(200)}
+    numbers = {}
+    for r in ix.with_number_per_key(df, "k", ["id"]).collect():
+        numbers.setdefault(r.k, []).append((r.id, r.number))
+    for found in numbers.values():
+        assert [n for _, n in sorted(found)] == list(range(1, len(found) + 1))
+
+
+def test_quantiles_hold_no_group_in_one_task(spark):
+    """One sensor with 5,000 values: ranked in parts, without a window or a list per sensor."""
+    df = spark.range(5_000).select(F.lit("s").alias("sensor"), (F.col("id") / 100).cast("decimal(5,2)").alias("v"))
+    counts = df.groupBy("sensor", "v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = st.ranked_counts(counts, ["sensor"], "v", ["v"])
+    text = ranked._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window [") == text.count("Window [sum") == 2  # inside a part, and over the parts' sums
+    assert "windowspecdefinition(sensor" not in text
+    row = st.exact_quantiles(df, ["sensor"], "v", {"q": 0.25}).first()
+    assert row.q == pytest.approx(12.4975)
+
+
+def test_group_statistics_are_computed_once(spark, tmp_path):
+    rows, df = readings(spark)
+    df.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    text = st.standardize(table, ["sensor"], "v", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count(f"{tmp_path}/t") == 1

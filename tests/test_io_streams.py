@@ -9,8 +9,15 @@ from pyspark.sql import types as T
 from talusflow import session
 from talusflow.schemas import CATALOGUE_RAW, WAREHOUSE
 from talusflow.sources import files, sinks
-from talusflow.sources.warehouse import CONF_ROOT, jdbc_options, load_table
+from talusflow.sources.warehouse import (
+    CONF_ROOT,
+    jdbc_connection,
+    load_table,
+    range_predicates,
+    split_points,
+)
 from talusflow.streaming import points as stream
+from talusflow.streaming.state import BatchState
 
 POINT = T.StructType([T.StructField("id", T.LongType()), T.StructField("topic", T.StringType()),
                       T.StructField("ts", T.TimestampType())])
@@ -83,12 +90,36 @@ def test_tables_come_with_their_schema(spark, tmp_path):
         load_table(spark, "soil")
 
 
-def test_jdbc_reads_are_split_on_the_key_and_take_secrets_from_conf(spark):
+def test_jdbc_takes_secrets_from_conf(spark):
     for key, value in (("url", "jdbc:x:"), ("user", "u"), ("password", "p")):
         spark.conf.set(CONF_ROOT + key, value)
-    options = jdbc_options(spark, "weather_data", 1000, 8)
-    assert options["partitionColumn"] == "fact_id" and options["numPartitions"] == "8"
-    assert (options["user"], options["password"]) == ("u", "p")
+    options = jdbc_connection(spark)
+    assert (options["url"], options["user"], options["password"]) == ("jdbc:x:", "u", "p")
+    spark.conf.unset(CONF_ROOT + "url")
+
+
+@pytest.mark.parametrize("keys", [
+    list(range(1, 10_001)),
+    [*range(1, 9_001), *(10**9 + 7 * i for i in range(1_000))],
+    [*range(5), *range(10**6, 10**6 + 9_995)],
+    [3], [],
+])
+def test_key_ranges_hold_equal_numbers_of_rows(spark, keys):
+    """Counted as the database would count them, also where the keys lie far apart."""
+    low, width = (min(keys), -(-(max(keys) - min(keys) + 1) // 4096)) if keys else (0, 1)
+    histogram = {}
+    for key in keys:
+        bucket = low + (key - low) // width * width
+        histogram[bucket] = histogram.get(bucket, 0) + 1
+    points = split_points(list(histogram.items()), width, 8)
+    assert points == sorted(set(points)) and len(points) < 8
+    table = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k long")
+    counts = [table.where(p).count() for p in range_predicates("k", points)]
+    assert sum(counts) == len(keys) + 1
+    if len(keys) >= 10_000 and max(keys) < 10**8:
+        assert max(counts) <= 1.1 * len(keys) / 8 + 2
+    elif keys:
+        assert max(counts) <= len(keys) / 8 + width + 2 or len(keys) == 1
 
 
 def test_shared_folder_follows_the_session(spark, monkeypatch):
@@ -151,13 +182,58 @@ def test_counts_run_over_batches_and_per_topic(spark, tmp_path):
         stream.write_snapshots(stream.count_stream(df, *topic), path,
                                path + "-state").awaitTermination()
         assert sorted(map(tuple, stream.latest_snapshot(spark, path).collect())) == want
-    path = str(tmp_path / "files")
-    stream.write_snapshots(stream.file_arrivals(df), path, path + "-state").awaitTermination()
-    assert sorted(map(tuple, stream.latest_snapshot(spark, path).collect())) == [
-        ("1.json", 2), ("2.json", 1)]
+
+
+def size_of(folder: Path) -> int:
+    return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+
+
+def test_file_arrivals_keep_no_state(spark, tmp_path):
+    """A hundred batches: a row per file, each batch writes its own, and nothing is remembered."""
+    for i in range(100):
+        land(tmp_path / "in", f"{i}.json", [{"id": i, "topic": "a"}] * (i % 3 + 1))
+    df = stream.read_points_stream(spark, str(tmp_path / "in"), POINT, files_per_trigger=1)
+    stream.log_file_arrivals(df, str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "log")).collect()
+    assert sorted((r.file_name, r.n_rows) for r in rows) == sorted((f"{i}.json", i % 3 + 1) for i in range(100))
+    assert {len([r for r in rows if r.batch_id == b]) for b in range(100)} == {1}
+    assert not (tmp_path / "state" / "state").exists()
+    assert len(list((tmp_path / "log" / "batch_id=99").glob("*.parquet"))) == 1
+
+
+def test_batch_state_keeps_the_last_two_batches(spark, tmp_path):
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    state = BatchState(spark, str(tmp_path / "s"), {"t": schema})
+    assert state.read("t", 0).count() == 0
+    for batch in range(100 // 10):
+        before = [r.n for r in state.read("t", batch).collect()]
+        assert before == ([batch - 1] if batch else [])
+        state.write("t", spark.createDataFrame([(batch,)], schema), batch)
+    assert sorted(p.name for p in (tmp_path / "s" / "t").iterdir()) == ["batch=8", "batch=9"]
+    assert [r.n for r in state.read("t", 9).collect()] == [8]  # a repeated batch starts where it did
+
+
+def test_numbers_run_on_per_topic_over_batches(spark, tmp_path):
+    land(tmp_path / "in", "1.json", [{"id": i, "topic": "ab"[i % 2]} for i in range(7)] + [{"id": 50}])
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        df = stream.read_points_stream(spark, str(tmp_path / "in"), POINT).withColumn("text", F.lit('say "x"'))
+        stream.publish_stream(df, "text", "topic", ["id"], out, state).awaitTermination()
+        return spark.read.parquet(out).collect()
+
+    run()
+    land(tmp_path / "in", "2.json", [{"id": i, "topic": "abc"[i % 3]} for i in range(6)] + [{"id": 51}])
+    rows = run()
+    numbers = {}
+    for r in rows:
+        numbers.setdefault(r.topic, []).append(r.number)
+        assert json.loads(r.payload) == f'say "x" [{r.number}]'
+    assert {t: sorted(n) for t, n in numbers.items()} == {
+        "a": [1, 2, 3, 4, 5, 6], "b": [1, 2, 3, 4, 5], "c": [1, 2], None: [1, 2]}
 
 
 def test_published_messages(spark):
     df = spark.createDataFrame([("hello", 3, "t")], "text string, n long, topic string")
     assert [tuple(r) for r in stream.to_messages(df, "text", "n", "topic").collect()] == [
-        ("t", '{"message":"hello [3]"}')]
+        ("t", '"hello [3]"')]

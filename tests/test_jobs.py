@@ -83,6 +83,10 @@ def test_training_and_scoring(spark, warehouse, tmp_path):
     paths = jobs.run_training(spark, tables, models_at, "2024-02-01")
     assert set(paths) == {"asia_pacific", "america"}
     models = {name: load_model(models_at, name, "2024-02-01") for name in paths}
+    measured = spark.read.parquet(f"{models_at}/evaluation/run_date=2024-02-01").collect()
+    assert {r.region for r in measured} == set(paths)
+    # a region whose few events all fell into training has no test rows
+    assert sum(r.n_train + (r.n_rows or 0) for r in measured) == 8
 
     hourly = observations(spark, observation_rows(PLACES, [datetime(2022, 1, 1)])).select(
         F.dense_rank().over(_by_place()).cast("long").alias("Index"),
@@ -111,7 +115,7 @@ def test_training_and_scoring(spark, warehouse, tmp_path):
     hourly.write.parquet(landing)
     incoming = stream.read_points_stream(spark, landing, hourly.schema, "parquet")
     streamed = str(tmp_path / "streamed")
-    stream.score_stream(incoming, lambda b: jobs.score_points(b, models), streamed,
+    stream.score_stream(incoming, lambda b, _: jobs.score_points(b, models), streamed,
                         str(tmp_path / "state")).awaitTermination()
     key = ["Index", "probability"]
     assert sorted(map(str, spark.read.parquet(streamed).select(*key).collect())) == sorted(
@@ -199,3 +203,130 @@ def test_older_load_repeated_and_unfinished_load(spark, tmp_path):
     ingest(spark, path, "d3", [record(6, 5)], seen)
     tables = load_warehouse(spark, path)
     assert tables["landslide_event"].count() == 12 and audit(tables) == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingestion_scans_the_observations_once_and_joins_the_hours_once(spark, tmp_path, monkeypatch):
+    from talusflow.operators import warehouse
+
+    seen_path = str(tmp_path / "seen")
+    observations(spark, observation_rows(PLACES, DAYS)).write.parquet(seen_path)
+    plans, facts = [], []
+    original_stored, original_keyed = jobs.stored, warehouse.keyed_hours
+
+    def stored(df, purpose, **options):
+        plans.append((purpose, plan(df)))
+        return original_stored(df, purpose, **options)
+
+    def keyed(*frames):
+        facts.append(original_keyed(*frames))
+        return facts[-1]
+
+    monkeypatch.setattr(jobs, "stored", stored)
+    monkeypatch.setattr(warehouse, "keyed_hours", keyed)
+    ingest(spark, str(tmp_path / "w"), "d1", [record(1, 1), record(2, 2), record(4, 5)],
+           spark.read.parquet(seen_path))
+    scans = {purpose: text.count("FileScan parquet") for purpose, text in plans}
+    assert scans["checked"] == 1 and len(facts) == 1
+    assert all(seen_path not in text for purpose, text in plans if purpose != "checked")
+    assert plans[[p for p, _ in plans].index("facts")][1].count("Join [source") == 1
+
+
+def test_work_files_go_with_the_job(spark, tmp_path, monkeypatch):
+    from talusflow import session
+
+    monkeypatch.setattr(session, "shared_root", lambda _: str(tmp_path / "shared"))
+    ingest(spark, str(tmp_path / "w"), "d1", [record(1, 1)],
+           observations(spark, observation_rows(PLACES[:1], DAYS)))
+    assert list((tmp_path / "shared").iterdir()) == []
+
+
+def test_a_load_that_breaks_a_key_stays_unfinished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    seen = observations(spark, observation_rows(PLACES, DAYS))
+    ingest(spark, path, "d1", [record(1, 1)], seen)
+    before = {n: df.count() for n, df in load_warehouse(spark, path).items()}
+    original = jobs.load_star
+
+    def clashing(staged, existing, store):
+        """Numbers events from 1 again, as a load without the stored tables would."""
+        return original(staged, {**existing, "landslide_event": existing["landslide_event"].limit(0)}, store)
+
+    monkeypatch.setattr(jobs, "load_star", clashing)
+    with pytest.raises(ValueError, match="landslide_event.event_id taken_key"):
+        ingest(spark, path, "d2", [record(2, 2)], seen)
+    assert {n: df.count() for n, df in load_warehouse(spark, path).items()} == before
+    monkeypatch.setattr(jobs, "load_star", original)
+    ingest(spark, path, "d2", [record(2, 2)], seen)
+    assert audit(load_warehouse(spark, path)) == 0
+    audits = spark.read.parquet(f"{path}/load_audit").where("load_id = 'd2'")
+    assert audits.count() > 20 and audits.agg(F.sum("n_violations")).first()[0] == 0
+
+
+def test_soil_is_reduced_below_its_shuffle(spark, warehouse):
+    from talusflow.schemas import REGIONS
+
+    tables = load_warehouse(spark, warehouse[0])
+    text = plan(jobs.training_features(tables, REGIONS))
+    soil = text.index("/soil")
+    above = text[:soil].splitlines()
+    # From the scan upwards: the filter on key bits comes before the exchange of the pivot.
+    kinds = [next(k for k in ("BroadcastHashJoin", "Exchange hashpartitioning(weather_data_id") if k in line)
+             for line in reversed(above)
+             if "Exchange hashpartitioning(weather_data_id" in line or ("BroadcastHashJoin" in line and "_word" in line)]
+    assert kinds[:2] == ["BroadcastHashJoin", "Exchange hashpartitioning(weather_data_id"]
+
+
+def test_reduced_training_equals_the_whole_tables(spark, warehouse):
+    from talusflow.functions.vectors import assemble_features
+    from talusflow.operators import features as feat
+    from talusflow.operators.regions import in_any_box
+
+    tables = load_warehouse(spark, warehouse[0])
+    whole = feat.event_sequences(
+        feat.label_events(tables["landslide_event"].join(
+            tables["location"].where(in_any_box()), "location_id"), tables["datetime"]),
+        feat.hourly_facts(tables["weather_data"], tables["soil"], tables["datetime"]))
+    want = assemble_features(whole).select("event_id", "label", "features")
+    got = jobs.training_features(tables).select("event_id", "label", "features")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_points_without_observations_are_kept(spark, warehouse, tmp_path):
+    models = {}
+    tables = load_warehouse(spark, warehouse[0])
+    paths = jobs.run_training(spark, tables, str(tmp_path / "m"), "d")
+    models = {name: load_model(str(tmp_path / "m"), name, "d") for name in paths}
+    outline = spark.createDataFrame(
+        [(lat, lon, 2022, 1, 1, country, "00:00:00") for _, country, lon, lat in PLACES], POINT_RECORD)
+    seen = observations(spark, observation_rows(PLACES[:2], [datetime(2022, 1, 1)]))
+    rows = jobs.score_outline(outline, seen, models).collect()
+    assert sorted(r.n_hours for r in rows) == [0, 0, 0, 24, 24]
+    assert all((r.probability is None) == (r.n_hours == 0) for r in rows)
+
+
+def test_points_are_numbered_and_scored_once_over_batches(spark, warehouse, tmp_path):
+    paths = jobs.run_training(spark, load_warehouse(spark, warehouse[0]), str(tmp_path / "m"), "d")
+    models = {name: load_model(str(tmp_path / "m"), name, "d") for name in paths}
+    day = datetime(2022, 1, 1)
+    rows = [*observation_rows(PLACES[:3], [day]),
+            *list(observation_rows(PLACES[3:4], [day]))[:5],
+            *list(observation_rows(PLACES[3:4], [day + timedelta(days=3)]))]
+    seen = observations(spark, rows)
+    point = lambda n, when=day: (PLACES[n][3], PLACES[n][2], when.year, when.month, when.day,
+                                 PLACES[n][1], "00:00:00")
+    score = jobs.outline_scorer(spark, seen, models, str(tmp_path / "state"))
+    batches = [[point(0), point(1), point(3)], [point(1), point(2), point(0)],
+               [point(3, day + timedelta(days=3)), point(3)]]
+    for batch in batches:
+        spark.createDataFrame(batch, POINT_RECORD).write.mode("append").json(str(tmp_path / "in"))
+        arriving = stream.read_points_stream(spark, str(tmp_path / "in"), POINT_RECORD)
+        stream.score_stream(arriving, score, str(tmp_path / "out"), str(tmp_path / "offsets")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    by_batch = {b: sorted((r.n_hours, r.date) for r in found if r.batch_id == b) for b in {r.batch_id for r in found}}
+    # the point with five hours waits, until an observation two days after its day has been seen
+    assert by_batch == {0: [(24, 1), (24, 1)], 1: [(24, 1)], 2: [(5, 1), (24, 4)]}
+    assert len({r.Index for r in found}) == len(found) == 5 and max(r.Index for r in found) == 4

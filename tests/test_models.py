@@ -94,3 +94,18 @@ def test_text_classifier_learns_words(spark):
         "id long, text string, label double")
     scored = ml.train_text_classifier(df, n_features=1024).transform(df)
     assert scored.where(F.col("label") != F.col("prediction")).count() == 0
+
+
+def test_groups_are_evaluated_in_one_pass(spark):
+    rng = random.Random(9)
+    rows = [("abc"[i % 3], int(rng.random() < 0.4), rng.randrange(20) / 20) for i in range(600)]
+    rows += [("single", 1, 0.7), ("single", 1, 0.2)]
+    df = spark.createDataFrame(rows, "region string, label int, probability double").withColumn(
+        "prediction", (F.col("probability") >= 0.5).cast("double")).repartition(7)
+    found = {r.region: r for r in ml.evaluate_groups(df, "region").collect()}
+    for name in "abc":
+        part = df.where(F.col("region") == name)
+        assert found[name].area == pytest.approx(ml.area_under_roc(part))
+        one = ml.evaluate_binary(part).first()
+        assert (found[name].n_rows, found[name].accuracy, found[name].precision, found[name].recall) == tuple(one)
+    assert found["single"].area is None and found["single"].recall == 0.5
