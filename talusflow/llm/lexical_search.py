@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from talusflow.llm.common import text_chunks, written
 from talusflow.llm.words import coded, split_words
 
-SHARD_DOCS = 2048       # documents of one shard of the index
-SHARD_BYTES = 6 << 20   # text at which a shard is closed earlier
+SHARD_DOCS = 1024       # documents of one shard of the index
+SHARD_BYTES = 3 << 20   # text at which a shard is closed earlier
 BLOCK_BYTES = 2 << 20   # query text that one pass over the index carries to its tasks
 SPLITS = 96             # intervals that are split together
 
@@ -46,8 +46,8 @@ def _shard_row(ids: list[pa.Array], words: list[pa.Array], counts: list[np.ndarr
     return pa.RecordBatch.from_arrays(
         [pa.array([int((counts > 0).sum())]), pa.array([int(counts.sum())]), pa.array([int(known.sum())], pa.int32()),
          *_bytes(ids.drop_null().to_numpy(zero_copy_only=False).astype("<i8"), sizes.astype("<i8"), letters,
-                 (offsets[1:] - offsets[0]).astype("<i8"),
-                 np.searchsorted(term, np.arange(len(terms) + 1)).astype("<i8"), docs.astype("<i4"), tf.astype("<i8"))],
+                 (offsets[1:] - offsets[0]).astype("<i4"),
+                 np.searchsorted(term, np.arange(len(terms) + 1)).astype("<i4"), docs.astype("<i4"), tf.astype("<i4"))],
         [c.split()[0] for c in INDEX.split(", ")])
 
 
@@ -77,7 +77,7 @@ def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _terms_of(letters: bytes, ends: bytes) -> pa.LargeBinaryArray:
-    ends = np.frombuffer(ends, "<i8")
+    ends = np.frombuffer(ends, "<i4")
     return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(letters)])
 
@@ -102,7 +102,7 @@ def term_counts(index: DataFrame, block: QueryBlock) -> np.ndarray:
             for letters, ends, ptr in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 at = pc.index_in(wanted, value_set=_terms_of(letters, ends))
                 there, at = np.flatnonzero(at.is_valid()), at.drop_null().to_numpy()
-                total[there] += np.diff(np.frombuffer(ptr, "<i8"))[at]
+                total[there] += np.diff(np.frombuffer(ptr, "<i4"))[at]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "df"])
 
@@ -127,7 +127,7 @@ class SearchShard:
     def __init__(self, row: dict, block: QueryBlock, weight: np.ndarray, n_docs: int, n_terms: int):
         self.ids = np.frombuffer(row["ids"], "<i8")
         sizes = np.frombuffer(row["sizes"], "<i8")
-        ptr, docs, tf = (np.frombuffer(row[c], t) for c, t in (("ptr", "<i8"), ("docs", "<i4"), ("tf", "<i8")))
+        ptr, docs, tf = (np.frombuffer(row[c], "<i4").astype(np.int64) for c in ("ptr", "docs", "tf"))
         at = pc.index_in(block.terms, value_set=_terms_of(row["letters"], row["ends"]))
         self.known = np.asarray(at.is_valid()) & (weight > 0)
         at = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -137,7 +137,7 @@ class SearchShard:
         self.count = count
         from_ = np.repeat(ptr[at] if len(ptr) > 1 else at, count)
         source = from_ + np.arange(count.sum()) - np.repeat(self.base, count)
-        self.docs = docs[source].astype(np.int64)
+        self.docs = docs[source]
         tf = tf[source]
         m = 100 - 25 + (25 * sizes * n_docs) // max(1, n_terms)
         self.impact = np.repeat(weight, count) * ((1_000_000_000 * tf) // (1000 * tf + 12 * m[self.docs]))
