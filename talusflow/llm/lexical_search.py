@@ -51,6 +51,14 @@ def _shard_row(ids: list[pa.Array], words: list[pa.Array], counts: list[np.ndarr
         [c.split()[0] for c in INDEX.split(", ")])
 
 
+def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts like `text_chunks`, of a quarter shard's documents at most."""
+    for first, end, data, offsets in text_chunks(column):
+        for a in range(0, end - first, SHARD_DOCS // 4):
+            b = min(a + SHARD_DOCS // 4, end - first)
+            yield first + a, first + b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+
+
 def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The inverted index in shards, written to the shared folder: a row holds some documents' postings.
 
@@ -61,7 +69,7 @@ def build_index(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, counts, docs, size = [], [], [], 0, 0
         for batch in batches:
-            for first, end, data, offsets in text_chunks(batch.column(1)):
+            for first, end, data, offsets in _chunks(batch.column(1)):
                 if docs and (docs + end - first > SHARD_DOCS or size + len(data) > SHARD_BYTES):
                     yield _shard_row(ids, words, counts)
                     ids, words, counts, docs, size = [], [], [], 0, 0
