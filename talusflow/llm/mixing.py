@@ -91,18 +91,16 @@ def _crossing(ranked: DataFrame, due: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
-                max_copies: float = 2.0, fill: bool = False) -> DataFrame:
+                max_copies: float = 2.0) -> DataFrame:
     """One row per source: size, target, certain copies and which ranks get one copy more.
 
     `rows` has `_source`, `_size`, `_u`. Each document gets `_whole` certain copies and stands for
-    one more with probability `_part`. In Pareto order documents are taken while they fit into
-    the words left; then the one document whose size is nearest to the rest is added if that comes
-    closer to the target. The order is added up in coarse steps, then in fine steps of the step
-    where the words run out, then row by row, so no task sorts a source.
-
-    With `fill`, a document that does not fit is set aside instead of ending its source: the order
-    goes on with the documents that fit into the words still left, round by round until none does.
-    `_more` has what each round takes.
+    one more with probability `_part`. In Pareto order each document is taken if it fits into the
+    words left, and set aside if not; then the one document whose size is nearest to the rest is
+    added if that comes closer to the target. The order is added up in coarse steps, then in fine
+    steps of the step where the words run out, then row by row, so no task sorts a source. Where a
+    document does not fit, a round ends; the next goes on behind it with the documents that fit into
+    the words still left, until none does. `_more` has what each round takes.
     """
     sizes = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     targets = source_targets(sizes, weights, share, max_copies)
@@ -137,7 +135,7 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     cuts = written(cuts.withColumn("_more", F.array().cast(_ROUNDS)), "mixing-cuts")
     state = cuts.where("_crosses").select("_source", F.col("_fine_cut").alias("_f"), F.col("_over").alias("_c"),
                                           (F.col("_due") - F.col("_filled")).alias("_due"))
-    while fill:
+    while True:
         small = (ranked.join(state, "_source").where(_after("_f", "_c") & (F.col("_size") <= F.col("_due"))
                                                     & (F.col("_size") > 0)))
         all_of = written(small.groupBy("_source").agg(F.sum("_size").alias("_all")), "mixing-fits")
@@ -221,12 +219,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     share: float = 1.5, max_copies: float = 2.0, seed: str = "mix") -> DataFrame:
     """The documents of the mix with all their columns, a row for each copy taken.
 
-    A document without words has no weight in the mix and stays once. Unlike in `mix_sources`, whose
-    rows the check SQL fixes, a document too long for the words left does not end its source.
+    The same copies as `mix_sources` counts; a document without words has no weight in the mix and
+    stays once.
     """
     keys = _ranked(docs, id_col, text_col, source_col, seed)
     rows = written(docs.select(*keys), "mixing-rows")
-    plan = mixing_plan(rows, weights, share, max_copies, fill=True)
+    plan = mixing_plan(rows, weights, share, max_copies)
     full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *keys)
     copies = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_copies")).cast("int")
     return (

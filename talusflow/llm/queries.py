@@ -55,7 +55,7 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op10_mixing", r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          coalesce('=' || source, '') AS s FROM documents),
 r AS (SELECT *, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || size), 1, 13))
@@ -78,14 +78,18 @@ q AS (SELECT r.doc_id, r.size, r.s, p.source_size, p.target, floor(ratio)::BIGIN
              CASE WHEN ratio > floor(ratio) THEN (u / (1 - u))
                   / ((ratio - floor(ratio)) / (1.0::DOUBLE - (ratio - floor(ratio)))) END AS rank
       FROM r JOIN p USING (s)),
-c AS (SELECT *, sum(size) OVER (PARTITION BY s ORDER BY rank) AS upto FROM q WHERE rank IS NOT NULL),
-f AS (SELECT s, coalesce(max(CASE WHEN upto <= due THEN upto END), 0) AS filled FROM c GROUP BY s),
-n AS (SELECT c.s, arg_min(c.rank, (abs(c.size - (due - filled)), c.rank)) AS last FROM c JOIN f USING (s)
-      WHERE upto > due AND abs(c.size - (due - filled)) < due - filled GROUP BY c.s)
+c AS (SELECT s, rank, sum(size) AS words, row_number() OVER (PARTITION BY s ORDER BY rank) AS pos
+      FROM q WHERE rank IS NOT NULL GROUP BY s, rank),
+walk AS (SELECT DISTINCT s, CAST(0 AS BIGINT) AS pos, due AS rest, NULL::DOUBLE AS rank, false AS took FROM q UNION ALL
+      SELECT c.s, c.pos, CASE WHEN c.words <= walk.rest THEN walk.rest - c.words ELSE walk.rest END::BIGINT, c.rank,
+             c.words <= walk.rest FROM walk JOIN c ON c.s = walk.s AND c.pos = walk.pos + 1),
+left_over AS (SELECT s, min(rest) AS rest FROM walk GROUP BY s),
+n AS (SELECT q.s, arg_min(q.rank, (abs(q.size - left_over.rest), q.rank)) AS last FROM q JOIN left_over USING (s)
+      JOIN walk ON walk.s = q.s AND walk.rank = q.rank AND NOT walk.took WHERE abs(q.size - left_over.rest) < left_over.rest
+      GROUP BY q.s)
 SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * (whole + CASE
-         WHEN q.rank IS NULL THEN 0 WHEN c.upto <= c.due OR c.rank = n.last THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM q LEFT JOIN (SELECT DISTINCT s, rank, upto, due FROM c) c ON q.s = c.s AND q.rank = c.rank
-LEFT JOIN n ON q.s = n.s""")
+         WHEN q.rank IS NULL THEN 0 WHEN walk.took OR q.rank = n.last THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM q LEFT JOIN walk ON q.s = walk.s AND q.rank = walk.rank LEFT JOIN n ON q.s = n.s""")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 

@@ -112,18 +112,21 @@ def top_inner_products(rows: DataFrame, is_query: Column, id_col: str = "vec_id"
     Vectors count as floor(scale * component). `is_query` refers to the columns of `rows`. Blocks of
     queries meet blocks of rows; each meeting leaves k rows per query, from which a window keeps the
     best. Rows without id, and vectors that are null or hold null or non-finite components, take no
-    part. A query never finds its own id; repeated rows of another id are found each. Shorter vectors
+    part. A query never finds its own id; repeated rows of another id are found each. Repeated query
+    rows of one id and equal vectors are one query; rows of one id with different vectors are a query
+    each, and the ranks of that id come as often. Shorter vectors
     are filled up with zeros. With fewer than k candidates all are returned; an empty table gives
     nothing. Other columns are not read.
     """
     usable = rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
     pick = [F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")]
-    asked = written(usable.where(is_query).select(*pick), "topk-queries")
+    asked = written(usable.where(is_query).select(*pick).distinct(), "topk-queries")
     parts = max(1, ceil(asked.count() / query_block))
     queries = written(
         _blocks(asked.repartition(parts), scale, query_block)
         .select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "values", "small")],
-                F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part")), "topk-query-blocks")
+                F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part"),
+                F.monotonically_increasing_id().alias("block")), "topk-query-blocks")
     blocks = written(_blocks(usable.select(*pick), scale, block), "topk-blocks")
     meetings = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(queries, "part")
 
@@ -145,10 +148,14 @@ def top_inner_products(rows: DataFrame, is_query: Column, id_col: str = "vec_id"
                 if sum(counts):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(asking[[c for c, _, _ in found]], counts)),
+                         pa.array(np.repeat([row["block"]], sum(counts))),
+                         pa.array(np.repeat(np.array([c for c, _, _ in found], np.int32), counts)),
                          pa.array(np.concatenate([ids for _, ids, _ in found])),
-                         pa.array(np.concatenate([s for _, _, s in found]))], ["query_id", "vec_id", "score"])
+                         pa.array(np.concatenate([s for _, _, s in found]))],
+                        ["query_id", "block", "place", "vec_id", "score"])
 
-    found = meetings.mapInArrow(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = meetings.mapInArrow(run, "query_id long, block long, place int, vec_id long, score long")
+    # A query is its place in its block, not its id.
+    best = Window.partitionBy("block", "place").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -223,12 +223,22 @@ def test_mixing_goes_on_after_a_document_too_long(spark):
         rows += [(1000 * s + i, "w " * n, f"s{s:02}") for i, n in enumerate([*sizes, sum(sizes) // 2])]
         rows += [(1000 * s + 900, "w " * 50, f"s{s:02}")] * 3
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
-    got, target = {}, {}
+    got, counted, target = {}, {}, {}
     for r in mixing.mixed_documents(frame, weights=(1,), share=0.3).collect():
         got[r.source] = got.get(r.source, 0) + len(r.text.split())
     for r in mixing.mix_sources(frame, weights=(1,), share=0.3).collect():
-        target[f"s{r.doc_id // 1000:02}"] = r.target
+        source = f"s{r.doc_id // 1000:02}"
+        target[source], counted[source] = r.target, counted.get(source, 0) + r.taken
     assert len(target) == 24 and all(abs(got[s] / t - 1) < 0.02 for s, t in target.items())
+    assert got == counted
+
+
+@pytest.mark.parametrize("seed", [f"draw{i}" for i in range(3)])
+def test_mixing_meets_the_target_beside_a_giant(spark, seed):
+    rows = [(i, "w " * (100 + 7 * i % 600), "a") for i in range(1000)] + [(5000, "w " * 400_000, "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    done = mixing.mix_sources(frame, share=0.3, seed=seed).collect()
+    assert abs(sum(r.taken for r in done) / done[0].target - 1) < 0.01
 
 
 def test_language_model_counts_and_normalises(docs):
@@ -280,14 +290,14 @@ def test_vector_duplicates(vectors):
 def test_topk_equals_brute_force(spark, vectors):
     draw = np.random.default_rng(4)
     wide = spark.createDataFrame([(int(i), [float(x) for x in draw.normal(size=8)]) for i in range(400)], "vec_id long, embedding array<double>")
-    for frame in (vectors, wide):
+    twice = wide.unionAll(wide.where("vec_id % 100 = 0"))
+    for frame in (vectors, wide, twice):
         rows = [(r.vec_id, np.floor(256 * np.pad(np.array(r.embedding, float), (0, 8 - len(r.embedding))))) for r in frame.collect()
                 if r.embedding is not None and all(x is not None and np.isfinite(x) for x in r.embedding)]
         want = []
-        for q, x in rows:
-            if q % 50 == 0:
-                best = sorted((-int(x @ y), i) for i, y in rows if i != q)[:5]
-                want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+        for q, x in {q: x for q, x in rows if q % 50 == 0}.items():
+            best = sorted((-int(x @ y), i) for i, y in rows if i != q)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
         got = [tuple(r) for r in topk_search.top_inner_products(frame, topk_search.F.col("vec_id") % 50 == 0).collect()]
         assert sorted(got) == sorted(want)
 
