@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talusflow.session import shared_path
+from talusflow.session import shared_path, work_folder
 
 # What the contracts call white space, and a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,10 +19,19 @@ SPACES = b" \t\n\x0b\x0c\r"
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame, written to the shared folder and read back: later stages start from the files."""
     path = shared_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, purpose: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What `make` returns, written to the shared folder; all that is written on the way is deleted."""
+    path = shared_path(spark, purpose)
+    with work_folder(spark):
+        result = make()
+        result.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,8 +76,11 @@ def dealt_tiles(members: DataFrame, tile: int, *more: str) -> DataFrame:
                 F.greatest("_own", "_other").alias("j"), F.col("_own").alias("side")))
 
 
-def in_runs(dealt: DataFrame) -> DataFrame:
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+def in_runs(dealt: DataFrame, parts: int | None = None) -> DataFrame:
+    """Pairs of tiles as runs of rows, in `parts` tasks; without a number bytes decide, not work."""
+    groups = ["key", "i", "j"]
+    spread = dealt.repartition(parts, *groups) if parts else dealt.repartition(*groups)
+    return spread.sortWithinPartitions(*groups, "node")
 
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talusflow.llm.common import dealt_tiles, hashed_words, in_runs, mixed, runs, text_chunks, written
+from talusflow.llm.common import dealt_tiles, hashed_words, in_runs, mixed, runs, settled, text_chunks, written
 from talusflow.llm.components import connected
 
 
@@ -33,7 +33,6 @@ class Method:
     batch: int = 32
     miss: float = 1e-6
     tile: int = 1024
-    offers: tuple[int, ...] = (4,)
 
     def least_matches(self) -> list[tuple[int, int]]:
         """After n compared values, the fewest matches that leave the pair in the race.
@@ -199,15 +198,75 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, method: Method) -> DataFrame:
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method, best: int | None) -> DataFrame:
-    """Surviving pairs a, b of different components in buckets of any size, tile by tile.
+def _sets(texts: DataFrame, method: Method) -> DataFrame:
+    """node and its sorted shingle hashes, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, hashes, bounds in shingle_sets(batch.column("text"), method.words):
+                rows = pa.Array.from_buffers(
+                    pa.large_binary(), len(bounds) - 1,
+                    [None, pa.py_buffer((bounds * 8).astype(np.int64)), pa.py_buffer(hashes)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(first, len(bounds) - 1), rows.cast(pa.binary())], ["node", "set"])
+    return texts.select("node", "text").mapInArrow(run, "node long, set binary")
+
+
+class _Forest:
+    """Components inside one tile, by the roots known before."""
 
-    With `best`, each node offers only so many of its pairs per tile, those with the most matches.
+    def __init__(self, roots: np.ndarray):
+        _, self.of = np.unique(roots, return_inverse=True)
+
+    def merge(self, a: int, b: int) -> bool:
+        x, y = self.of[a], self.of[b]
+        if x != y:
+            self.of[self.of == max(x, y)] = min(x, y)
+        return x != y
+
+
+def _forest_links(pairs: tuple[np.ndarray, np.ndarray], sets: list[np.ndarray], roots: np.ndarray, percent: int
+                  ) -> list[tuple[int, int]]:
+    """Links that join different components, each confirmed on the full sets: fewer than the rows.
+
+    `pairs` are all that may be links. A row is compared with all its partners of other components
+    at once, by counting its shingles among theirs. A pair whose rows meanwhile lie in one component
+    cannot change anything and is passed over; every other pair is decided here.
+    """
+    left, right = pairs
+    used, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    left, right = at[:len(left)], at[len(left):]
+    sizes = np.array([len(sets[i]) for i in used])
+    _, numbers = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True)
+    ends = np.cumsum(sizes)
+    own = [numbers[end - size:end] for end, size in zip(ends, sizes)]
+    forest, links = _Forest(roots[used]), []
+    mark = np.zeros(int(numbers.max(initial=-1)) + 1, dtype=bool)
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    heads, begins = np.unique(left, return_index=True)
+    for x, begin, end in zip(heads, begins, np.append(begins[1:], len(left))):
+        near = right[begin:end]
+        near = near[forest.of[near] != forest.of[x]]
+        if not len(near):
+            continue
+        mark[own[x]] = True
+        starts = np.concatenate([[0], np.cumsum(sizes[near])[:-1]])
+        shared = np.add.reduceat(mark[np.concatenate([own[y] for y in near])].astype(np.int64), starts)
+        mark[own[x]] = False
+        linked = 100 * shared >= percent * (sizes[x] + sizes[near] - shared)
+        links += [(int(used[x]), int(used[y])) for y in near[linked] if forest.merge(x, y)]
+    return links
+
+
+def _tile_links(members: DataFrame, signatures: DataFrame, sets: DataFrame, method: Method, parts: int) -> DataFrame:
+    """Confirmed links a, b between different components in buckets of any size, tile by tile.
 
     `members` has key, node, root, n (bucket size). A bucket is dealt into tiles by hash and each
-    pair of tiles is a group of its own. A pair is looked at in its first common band only.
+    pair of tiles is a group of its own. A pair is looked at in its first common band only. What
+    survives the signatures is decided on the full sets inside the task; of the links only those
+    leave it that join components, so a tile sends fewer rows than it has.
     """
-    def pairs_of(group: pa.Table) -> Iterator[tuple[int, int]]:
+    def links_of(group: pa.Table) -> Iterator[tuple[int, int]]:
         i, j, key = (group.column(c)[0].as_py() for c in ("i", "j", "key"))
         side = group.column("side").to_numpy()
         node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
@@ -234,27 +293,26 @@ def _tile_pairs(members: DataFrame, signatures: DataFrame, method: Method, best:
         x, y = (at.astype(np.int64) for at in np.nonzero(open_pairs))
         if not len(x):
             return
-        alive, matches = method.survivors(signature[left[x]], signature[right[y]])
-        x, y = x[alive], y[alive]
-        if best is not None:
-            order = np.lexsort((-matches, x))
-            first = np.searchsorted(x[order], x[order], side="left")
-            order = order[np.arange(len(order)) - first < best]
-            x, y = x[order], y[order]
-        yield from zip(node[left[x]].tolist(), node[right[y]].tolist())
+        alive, _ = method.survivors(signature[left[x]], signature[right[y]])
+        if len(alive):
+            column = group.column("set").to_pylist()
+            full = [np.frombuffer(s, "<u8") for s in column]
+            for a, b in _forest_links((left[x[alive]], right[y[alive]]), full, root, method.percent):
+                yield int(node[a]), int(node[b])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
         for group in runs(batches, ["key", "i", "j"]):
-            found += pairs_of(group)
+            found += links_of(group)
             if len(found) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
                 found = []
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
-    dealt = dealt_tiles(members, method.tile, "root").join(signatures.select("node", "signature", "keys"), "node")
-    return in_runs(dealt).mapInArrow(run, "a long, b long").select(
+    dealt = dealt_tiles(members, method.tile, "root").join(
+        signatures.select("node", "signature", "keys"), "node").join(sets, "node")
+    return in_runs(dealt, parts).mapInArrow(run, "a long, b long").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
@@ -264,28 +322,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents with equal shingle sets are one class. Of the other classes, first each member of a
     bucket meets the bucket's smallest one; what is linked by then needs no further look. In buckets
-    that still hold several components, pairs between components are tried: the likeliest ones of
-    each document first, then all that are left. Links are confirmed on the full sets. `component_id` is the smallest id of the group, `kept` marks the
+    that still hold several components, all pairs between components are tried, tile by tile. Links
+    are confirmed on the full sets. `component_id` is the smallest id of the group, `kept` marks the
     rows with that id, `first_row` just one row of each group.
 
     Null and blank texts have no shingles and are alone. A null id is never the smallest unless the
     group has no other; such groups have a null component and all their rows are kept. Repeated
     rows are members like others. An empty table gives an empty result; other columns aren't read.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # Written once, as a plan that is run again might number its rows in another way.
-    return _grouped(written(texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"),
-                            "neardup-texts"), method)
+    def make() -> DataFrame:
+        texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        # Written once, as a plan that is run again might number its rows in another way.
+        return _grouped(written(texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"),
+                                "neardup-texts"), method)
+
+    return settled(docs.sparkSession, "neardup-groups", make)
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        method: Method = Method()) -> DataFrame:
     """The documents with all their columns, one row of each group: with the smallest id."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    numbered = written(docs.select(F.monotonically_increasing_id().alias("node"), F.col(id_col).alias("doc_id"),
-                                   F.col(text_col).cast("string").alias("text"), row), "neardup-texts")
-    first = _grouped(numbered.select("node", "doc_id", "text"), method).where("first_row")
-    return numbered.select("node", "_row").join(first.select("node"), "node", "left_semi").select("_row.*")
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    by_name = dict(zip(docs.columns, names))
+    numbered = written(docs.toDF(*names).withColumn("node", F.monotonically_increasing_id()), "neardup-texts")
+    texts = numbered.select("node", F.col(by_name[id_col]).alias("doc_id"),
+                            F.col(by_name[text_col]).cast("string").alias("text"))
+    first = settled(docs.sparkSession, "neardup-first",
+                    lambda: _grouped(texts, method).where("first_row").select("node"))
+    return numbered.join(first, "node", "left_semi").select(*names).toDF(*docs.columns)
 
 
 def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
@@ -303,19 +367,17 @@ def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
                     .distinct(), "neardup-stars")
     links = written(_confirmed(written(_pruned(stars, signatures, method), "neardup-likely"),
                                numbered, method), "neardup-links")
-    tried = stars
-    for best in (*method.offers, None):
-        roots = written(connected(links), "neardup-roots")
-        rooted = members.where("n > 2").join(roots, "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root"))
-        # A bucket of two held no other pair than its star; one with a single root is done.
-        rooted = written(rooted, "neardup-rooted")
-        open_keys = written(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                            .where("x != y").select("key"), "neardup-open")
-        rest = written(_tile_pairs(rooted.join(open_keys, "key"), signatures, method, best).join(
-            tried, ["a", "b"], "left_anti").distinct(), "neardup-rest")
-        tried = tried.union(rest)
-        links = links.union(written(_confirmed(rest, numbered, method), "neardup-more"))
+    roots = written(connected(links), "neardup-roots")
+    # A bucket of two held no other pair than its star; one with a single root is done.
+    rooted = written(members.where("n > 2").join(roots, "node", "left").select(
+        "key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-rooted")
+    open_keys = written(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+                        .where("x != y").select("key"), "neardup-open")
+    tiled = written(rooted.join(open_keys, "key"), "neardup-tiled")
+    tile_rows = tiled.agg(F.coalesce(F.sum(F.ceil(F.col("n") / method.tile)), F.lit(0))).first()[0]
+    sets = written(_sets(numbered.join(tiled.select("node").distinct(), "node", "left_semi"), method), "neardup-sets")
+    more = _tile_links(tiled, signatures, sets, method, 1 + tile_rows // (2 * method.tile))
+    links = links.union(written(more.distinct(), "neardup-more"))
     roots = written(connected(links), "neardup-final")
 
     # Every class hangs on its root, every row on its class.

@@ -333,3 +333,45 @@ def test_empty_tables(docs, items):
     assert lexical_search.ranked_documents(none, items).count() == 0
     assert lexical_search.ranked_documents(docs, no_items).count() == 0
     assert lexical_search.ranked_documents(docs.withColumn("text", docs.text.substr(1, 0)), items).count() == 0
+
+
+# --- Near-duplicates in one large bucket -------------------------------------------------
+
+def test_a_bucket_of_thousands_of_near_copies(spark):
+    """Copies of one passage with none to thirteen words changed: links, components and the rest."""
+    from talusflow.llm import near_duplicates
+
+    base, draw = passage(21, 200, 10_000).split(), np.random.default_rng(22)
+    texts = []
+    for i in range(2500):
+        words = list(base)
+        for at in draw.choice(200, i % 14, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    number = {}
+    shared_with_base = [s & sets[0] for s in sets]
+    for s in shared_with_base:
+        for shingle in s:
+            number.setdefault(shingle, len(number))
+    # Changed words are unique to a copy, so only shingles of the base are shared.
+    matrix = np.zeros((len(texts), len(number)), np.float32)
+    for i, s in enumerate(shared_with_base):
+        matrix[i, [number[x] for x in s]] = 1
+    shared = matrix @ matrix.T
+    sizes = np.array([len(s) for s in sets])
+    linked = 100 * shared >= 75 * (sizes[:, None] + sizes[None, :] - shared)
+    root = np.arange(len(texts))
+    while True:
+        low = np.where(linked, root[None, :], len(texts)).min(axis=1)
+        low = np.minimum(low, root)
+        low = low[low]
+        if (low == root).all():
+            break
+        root = low
+    assert 10 < len(set(root)) < 1500
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(rows).collect()}
+    assert got == dict(enumerate(root.tolist()))
+    kept = near_duplicates.distinct_documents(rows).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root.tolist()))
