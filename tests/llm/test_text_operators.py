@@ -375,3 +375,49 @@ def test_a_bucket_of_thousands_of_near_copies(spark):
     assert got == dict(enumerate(root.tolist()))
     kept = near_duplicates.distinct_documents(rows).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(root.tolist()))
+
+
+# --- Personal data: planted identifiers and long texts -----------------------------------
+
+def test_planted_identifiers_are_found_by_their_context(spark):
+    """Known addresses teach the words around them; made-up user names stand in the same contexts."""
+    from talusflow.llm import personal_data
+
+    draw = np.random.default_rng(31)
+    filler = lambda: " ".join(f"w{i}" for i in draw.integers(0, 400, 12))
+    openers = ["please write to", "my account name is", "reach the owner at", "signed in as user"]
+    rows, planted = [], {}
+    for i in range(900):
+        opener = openers[i % 4]
+        if i % 3:
+            rows.append((i, f"{filler()} {opener} u{i}@example.org {filler()}"))
+        elif i % 6 == 0:
+            name = f"secret_{i}_name"
+            planted[i] = name
+            rows.append((i, f"{filler()} {opener} {name}, {filler()}"))
+        else:
+            rows.append((i, f"{filler()} {filler()}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # four openers share the known contexts: a quarter of what follows them is unknown at first
+    done = personal_data.find_personal_data(frame, keep=("text",), min_share=0.6).collect()
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r["all"] if s.rank == personal_data.KINDS.index("id")] for r in done}
+    right = sum(planted[i] in found[i] for i in planted)
+    extra = sum(len(v) for v in found.values()) - right
+    assert right >= 0.9 * len(planted) and extra <= 0.1 * right
+
+
+def test_a_text_with_thousands_of_spans_ends_soon(spark):
+    import time
+
+    from talusflow.llm import personal_data
+
+    text = " ".join(f"é{'x' * 60} mail u{i}@example.org and 10.{i % 250}.2.3 now" for i in range(5000))
+    frame = spark.createDataFrame([(1, text), (2, "call u7@example.org")], "doc_id long, text string")
+    began = time.time()
+    rows = {r.doc_id: r for r in personal_data.find_personal_data(frame, keep=("text",)).withColumn(
+        "clean", personal_data.masked(personal_data.F.col("text"), personal_data.F.col("all"))).collect()}
+    assert time.time() - began < 120
+    spans = [(m.start(), m.end()) for m in re.finditer(r"u\d+@example\.org|10\.\d+\.2\.3", text)]
+    assert [(s.start, s.end) for s in rows[1].base] == spans and len(spans) == 10_000
+    assert rows[1].clean.count("[email]") == 5000 and "@" not in rows[1].clean
+    assert rows[1].clean.startswith("é" + "x" * 60 + " mail [email] and [ip] now")
