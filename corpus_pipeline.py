@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talusflow.llm import mixing, near_duplicates, packing, personal_data, toxicity
-from talusflow.llm.common import table, written
+from talusflow.llm.common import table
+from talusflow.session import remove, shared_path, work_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 THRESHOLD = 0.7
@@ -19,7 +20,8 @@ THRESHOLD = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; a text without words is kept."""
     docs = docs.select(*COLUMNS)
-    model = toxicity.train(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels")), cut=THRESHOLD)
+    with work_folder(spark):  # the model is all that stays of the training
+        model = toxicity.train(toxicity.labelled_texts(docs, table(spark, sf_dir, "labels")), cut=THRESHOLD)
     return toxicity.scored(docs, model).where(
         (F.col("toxicity") < THRESHOLD) | (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0)
     ).select(*COLUMNS)
@@ -59,7 +61,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn; what a stage wrote on its way, and its predecessor's output, go when its own
+    output stands."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_path(spark, f"pipeline-{name}")
+        with work_folder(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
     return docs
