@@ -73,6 +73,18 @@ def scan_csv_typed(spark, sf_dir):
     return good
 
 
+@query("scan_csv_broken",
+       "SELECT 'x' || id || ',' || country || ',' || continentcode AS line FROM catalogue WHERE id % 13 = 4")
+def scan_csv_broken(spark, sf_dir):
+    """The lines that do not fit the declared types, as they stand in the file."""
+    path = shared_path(spark, "csv")
+    key = F.when(F.col("id") % 13 == 4, F.concat(F.lit("x"), "id")).otherwise(F.col("id").cast("string"))
+    sinks.write_csv(proxy.catalogue(spark, sf_dir).select(key.alias("id"), "country", "continentcode"), path)
+    schema = T.StructType([CATALOGUE_RAW[c] for c in ("id", "country", "continentcode")])
+    _, broken = files.split_corrupt(files.read_csv(spark, path, schema))
+    return broken.withColumnRenamed(files.CORRUPT, "line")
+
+
 @query("scan_hourly_csv",
        f'SELECT point_id AS "Index", {POINT_PLACE}, time, CAST(elevation AS BIGINT) AS elevation, '
        f"strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime, {', '.join(RAW_METRIC_NAMES)} FROM points")
@@ -129,12 +141,12 @@ def scan_json_records(spark, sf_dir):
     return files.read_json_records(spark, path, CATALOGUE_RAW)
 
 
-@query("sink_csv", "SELECT id, country, continentcode, latitude, longitude FROM catalogue")
+@query("sink_csv", RECORDS)
 def sink_csv(spark, sf_dir):
     """A first write and an append, by region folder."""
     path = shared_path(spark, "csv")
-    rows = proxy.catalogue(spark, sf_dir).select("id", "country", "latitude", "longitude",
-                                                 "continentcode")
+    rows = proxy.catalogue(spark, sf_dir)
+    rows = rows.select(*[c for c in rows.columns if c != "continentcode"], "continentcode")
     north = F.col("latitude") >= 0
     sinks.write_csv(rows.where(north), path, partition_by=("continentcode",))
     sinks.write_csv(rows.where(~north), path, mode="append", partition_by=("continentcode",))
