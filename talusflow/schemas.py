@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# --- Fixed values: names, domains and boxes that results depend on -----------------------
+# --- Fixed values: names, domains, boxes, table schemas and rules that results depend on ---
 
 # Soil layers, as stored in the `depth` column, and the suffix each one gets as a column.
 DEPTHS = {
@@ -54,8 +54,6 @@ TEXT_LOGREG_PARAMS = {"maxIter": 10, "regParam": 0.001}
 SPLIT_WEIGHTS = (0.8, 0.2)
 SPLIT_SEED = 42
 
-# --- End of fixed values ------------------------------------------------------------------
-
 
 @dataclass(frozen=True)
 class Region:
@@ -173,7 +171,7 @@ class TableRules:
     foreign_keys: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
-# The constraints of the star schema.
+# The constraints of the star schema.
 RULES = {
     "location": TableRules(
         primary_key=("location_id",),

@@ -30,12 +30,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def _near_keys(present: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored keys inside the ranges of the new rows' keys (and nulls, where those have some).
+
+    The bounds are constants, two per key, so a scan skips the files whose statistics lie outside.
+    """
+    bounds = rows.agg(*[f(c).alias(f"{side}_{i}") for i, c in enumerate(keys)
+                        for side, f in (("low", F.min), ("high", F.max))],
+                      *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(keys)]).first()
+    for i, key in enumerate(keys):
+        low, high = bounds[f"low_{i}"], bounds[f"high_{i}"]
+        inside = F.lit(False) if low is None else F.col(key).between(F.lit(low), F.lit(high))
+        present = present.where(inside | F.col(key).isNull() if bounds[f"nulls_{i}"] else inside)
+    return present
+
+
 def append_new(df: DataFrame, path: str, keys: list[str],
                partition_by: tuple[str, ...] = ()) -> None:
     """Append the rows whose natural key the table lacks; repeating the call adds nothing.
 
-    Of rows with one key the lowest in its other columns is taken; null is a key like others.
-    Keys that are also partition columns prune the read of the table.
+    Of rows with one key the lowest in its other columns is taken; null is a key like others. Only the
+    stored keys inside the ranges of the new ones are read, and keys that are partition columns prune
+    the folders.
     """
     spark = df.sparkSession
     rows = first_per_key(df, keys, [c for c in df.columns if c not in keys] or keys)
@@ -43,7 +59,7 @@ def append_new(df: DataFrame, path: str, keys: list[str],
         present = spark.read.schema(
             T.StructType([f for f in df.schema.fields if f.name in keys])
         ).parquet(path)
-        there = present.select(*[F.col(k).alias(f"_there_{k}") for k in keys])
+        there = _near_keys(present, rows, keys).select(*[F.col(k).alias(f"_there_{k}") for k in keys])
         rows = rows.join(there, [F.col(k).eqNullSafe(F.col(f"_there_{k}")) for k in keys], "left_anti")
     rows.select(*df.columns).write.mode("append").partitionBy(*partition_by).parquet(path)
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from talusflow.functions.scalars import message
 from talusflow.operators.indexing import with_number_per_key
-from talusflow.session import work_folder
+from talusflow.session import remove, work_folder
 from talusflow.streaming.state import BatchState
 
 
@@ -141,10 +141,15 @@ def write_files(df: DataFrame, path: str, checkpoint: str, file_format: str = "p
 
 
 def write_snapshots(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest complete result of an aggregation as a table, one folder per batch."""
+    """Keep the newest complete result of an aggregation as a table.
+
+    Each batch writes a folder of its own; the one before it stays for readers that have begun.
+    """
+    spark = df.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        remove(spark, f"{path}/batch_id={batch_id - 2}")
 
     return (
         df.writeStream.outputMode("complete").foreachBatch(write)

@@ -64,6 +64,23 @@ def test_append_orders_and_takes_null_keys_once(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect()), key=str) == [(1, "a"), (None, "n")]
 
 
+def test_append_reads_only_keys_in_range(spark, tmp_path, monkeypatch):
+    path, read = str(tmp_path / "t"), []
+    original = sinks._near_keys
+
+    def near(present, rows, keys):
+        read.append(original(present, rows, keys))
+        return read[-1]
+
+    monkeypatch.setattr(sinks, "_near_keys", near)
+    sinks.append_new(spark.range(1000).withColumn("v", F.lit("a")), path, ["id"])
+    sinks.append_new(spark.range(990, 1010).withColumn("v", F.lit("b")), path, ["id"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1010))
+    text = read[0]._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,990)" in text and "LessThanOrEqual(id,1009)" in text
+    assert read[0].count() == 20  # after the append; before it were ten
+
+
 def test_json_array_over_many_lines(spark, tmp_path):
     path = tmp_path / "a.json"
     path.write_text(json.dumps([{"id": 1, "country": "Peru"}, {"id": 2}], indent=1))
@@ -154,7 +171,7 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
         return sorted(r.id for r in spark.read.schema(POINT).parquet(out).collect())
 
     assert run() == [1, 2]
-    assert run() == [1, 2]
+    assert run() == [1, 2]  # nothing new
     land(tmp_path / "in", "2.json", [{"id": 3, "topic": "a"}])
     assert run() == [1, 2, 3]
 
@@ -184,8 +201,14 @@ def test_counts_run_over_batches_and_per_topic(spark, tmp_path):
         assert sorted(map(tuple, stream.latest_snapshot(spark, path).collect())) == want
 
 
-def size_of(folder: Path) -> int:
-    return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+def test_snapshots_of_old_batches_go(spark, tmp_path):
+    for i in range(5):
+        land(tmp_path / "in", f"{i}.json", [{"id": i, "topic": "ab"[i % 2]}])
+    df = stream.read_points_stream(spark, str(tmp_path / "in"), POINT, files_per_trigger=1)
+    path = str(tmp_path / "counts")
+    stream.write_snapshots(stream.count_stream(df, "topic"), path, str(tmp_path / "state")).awaitTermination()
+    assert sorted(p.name for p in Path(path).iterdir() if p.is_dir()) == ["batch_id=3", "batch_id=4"]
+    assert sorted(map(tuple, stream.latest_snapshot(spark, path).collect())) == [("a", 3), ("b", 2)]
 
 
 def test_file_arrivals_keep_no_state(spark, tmp_path):
