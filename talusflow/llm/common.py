@@ -16,10 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame, written to the shared folder and read back: later stages start from the files."""
+def written(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
+    """The frame, written to the shared folder and read back: later stages start from the files.
+
+    Without a `compression` the session's codec is taken.
+    """
     path = shared_path(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

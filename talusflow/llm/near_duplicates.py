@@ -334,7 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         # Written once, as a plan that is run again might number its rows in another way.
         return _grouped(written(texts.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text"),
-                                "neardup-texts"), method)
+                                "neardup-texts", "zstd"), method)
 
     return settled(docs.sparkSession, "neardup-groups", make)
 
@@ -344,7 +344,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The documents with all their columns, one row of each group: with the smallest id."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
     by_name = dict(zip(docs.columns, names))
-    numbered = written(docs.toDF(*names).withColumn("node", F.monotonically_increasing_id()), "neardup-texts")
+    numbered = written(docs.toDF(*names).withColumn("node", F.monotonically_increasing_id()), "neardup-texts", "zstd")
     texts = numbered.select("node", F.col(by_name[id_col]).alias("doc_id"),
                             F.col(by_name[text_col]).cast("string").alias("text"))
     first = settled(docs.sparkSession, "neardup-first",
@@ -353,15 +353,15 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
-    rows = written(_signatures(numbered, method), "neardup-rows")
+    rows = written(_signatures(numbered, method), "neardup-rows", "zstd")
 
     marks = written(rows.where("n_shingles > 0").groupBy("n_shingles", "mark").agg(
         F.min("node").alias("class")), "neardup-classes")
     signatures = rows.join(marks.select(F.col("class").alias("node")), "node", "left_semi")
-    keys = written(_keys(signatures, method), "neardup-keys")
+    keys = written(_keys(signatures, method), "neardup-keys", "zstd")
     buckets = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead"))
                       .where("n > 1"), "neardup-buckets")
-    members = written(keys.join(buckets, "key"), "neardup-members")
+    members = written(keys.join(buckets, "key"), "neardup-members", "zstd")
 
     stars = written(members.where("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
                     .distinct(), "neardup-stars")
@@ -370,12 +370,12 @@ def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
     roots = written(connected(links), "neardup-roots")
     # A bucket of two held no other pair than its star; one with a single root is done.
     rooted = written(members.where("n > 2").join(roots, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-rooted")
+        "key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-rooted", "zstd")
     open_keys = written(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
                         .where("x != y").select("key"), "neardup-open")
-    tiled = written(rooted.join(open_keys, "key"), "neardup-tiled")
+    tiled = written(rooted.join(open_keys, "key"), "neardup-tiled", "zstd")
     tile_rows = tiled.agg(F.coalesce(F.sum(F.ceil(F.col("n") / method.tile)), F.lit(0))).first()[0]
-    sets = written(_sets(numbered.join(tiled.select("node").distinct(), "node", "left_semi"), method), "neardup-sets")
+    sets = written(_sets(numbered.join(tiled.select("node").distinct(), "node", "left_semi"), method), "neardup-sets", "zstd")
     more = _tile_links(tiled, signatures, sets, method, 1 + tile_rows // (2 * method.tile))
     links = links.union(written(more.distinct(), "neardup-more"))
     roots = written(connected(links), "neardup-final")

@@ -196,7 +196,7 @@ def learn_patterns(edges: DataFrame, min_hits: float = 5, min_share: float = 0.8
     round adds up only what is newly believed.
     """
     counted = written(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("seed").alias("known")), "pii-counted")
-    unsure = written(edges.where("seed < 1").select("pattern", "token"), "pii-unsure")
+    unsure = written(edges.where("seed < 1").select("pattern", "token"), "pii-unsure", "zstd")
     gained, before = None, -1
     while True:
         hits = counted.withColumn("hits", F.col("known")) if gained is None else counted.join(
@@ -228,7 +228,7 @@ def _learnt(rows: DataFrame, min_hits: int = 5, min_share: float = 0.8, min_supp
     patterns as the corpus grows) can be confident, so the texts are read for all tokens of just these;
     then for all patterns of the tokens that are believed now, and so on until no further pattern has enough.
     """
-    named = edges = written(_instances(rows).distinct().withColumn("seed", F.lit(1.0)), "pii-edges")
+    named = edges = written(_instances(rows).distinct().withColumn("seed", F.lit(1.0)), "pii-edges", "zstd")
     least = max(float(min_hits), min_support * named.select("token").distinct().count())
     none = named.where(F.lit(False))
     places = none.select(F.lit(0).cast("long").alias("_row"), F.lit(0).alias("_at"), "pattern", "near", "token")
@@ -242,10 +242,10 @@ def _learnt(rows: DataFrame, min_hits: int = 5, min_share: float = 0.8, min_supp
         nears = written(able.select("near").distinct(), "pii-nears")
         found = _with_patterns(_places(rows).join(nears, "near", "left_semi").withColumn(
             "token", _trimmed(F.col("word"))), "_row", "_at")
-        places = places.unionByName(written(found.join(able.select("pattern"), "pattern", "left_semi"), "pii-places"))
+        places = places.unionByName(written(found.join(able.select("pattern"), "pattern", "left_semi"), "pii-places", "zstd"))
         looked = looked.unionByName(able)
         edges = written(edges.unionByName(places.select("pattern", "near", "token").distinct().withColumn("seed", F.lit(0.0)))
-                        .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges")
+                        .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges", "zstd")
         good, told = learn_patterns(edges.join(looked.select("pattern"), "pattern", "left_semi")
                                     .select("pattern", "token", "seed"), least, min_share)
         # A base token's own occurrences are all in `named`; of others the patterns are read now.
@@ -256,7 +256,7 @@ def _learnt(rows: DataFrame, min_hits: int = 5, min_share: float = 0.8, min_supp
             more = _with_patterns(_places(rows).withColumn("token", _trimmed(F.col("word"))).join(
                 fresh, "token", "left_semi"))
             edges = written(edges.unionByName(more.distinct().withColumn("seed", F.lit(0.0)))
-                            .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges")
+                            .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges", "zstd")
     return places.join(good.select("pattern"), "pattern", "left_semi").select("_row", "_at").distinct()
 
 
@@ -299,7 +299,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = [c for c in keep if c != text_col]
     own = [F.col("_text")] if text_col not in keep else [F.col(text_col)]
     row = row.select("doc_id", *kept, *own, base.alias("base"), F.monotonically_increasing_id().alias("_row"))
-    row = written(row, "pii-spans")
+    row = written(row, "pii-spans", "zstd")
     if text_col in keep:
         row = row.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
     rows = row.select("_row", "_text", "base")
