@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talusflow.llm.common import settled, written
+from talusflow.operators.reduction import key_bits, likely_keys
 
 # The base patterns by kind. Each is the contract's, written so that a failing start
 # is given up at once: `\G` or the look-behind admits only the first place of a run of characters,
@@ -257,15 +258,18 @@ def _learnt(rows: DataFrame, min_hits: int = 5, min_share: float = 0.8, min_supp
                 fresh, "token", "left_semi"))
             edges = written(edges.unionByName(more.distinct().withColumn("seed", F.lit(0.0)))
                             .groupBy("pattern", "near", "token").agg(F.max("seed").alias("seed")), "pii-edges", "zstd")
-    return places.join(good.select("pattern"), "pattern", "left_semi").select("_row", "_at").distinct()
+    return written(places.join(good.select("pattern"), "pattern", "left_semi").select("_row", "_at").distinct(),
+                   "pii-learnt")
 
 
 def _word_spans(rows: DataFrame, learnt: DataFrame) -> DataFrame:
     """_row and `_more`, the trimmed spans of the words numbered `_at` (from 0), in any order.
 
-    Each text with such words is cut once; running sums over its words and gaps give the places.
+    Each text with such words is cut once; running sums over its words and gaps give the places. The
+    other texts are left out by hashed bits of the row numbers, before anything is shuffled.
     """
-    texts = rows.select("_row", "_text").join(learnt.select("_row").distinct(), "_row", "left_semi")
+    few = likely_keys(rows.select("_row", "_text"), "_row", key_bits(learnt, "_row"))
+    texts = few.join(learnt.select("_row").distinct(), "_row", "left_semi")
     # Gaps and words take turns, beginning with the gap before the first word.
     parts = texts.select("_row", F.posexplode(F.arrays_zip(
         F.split("_text", r"[^\x20\x09-\x0D]+", -1).alias("gap"), _words(F.col("_text")).alias("word"))).alias("_at", "_p")).select(
