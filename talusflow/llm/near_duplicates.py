@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from talusflow.llm.common import dealt_tiles, hashed_words, in_runs, mixed, runs, settled, text_chunks, written
 from talusflow.llm.components import connected
+from talusflow.operators.reduction import key_bits, likely_keys
 
 
 @dataclass(frozen=True)
@@ -157,6 +158,15 @@ def _keys(rows: DataFrame, method: Method) -> DataFrame:
     return rows.select("node", "keys").mapInArrow(run, "node long, key long")
 
 
+def _asked(rows: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose `node` may be in one of the columns of `nodes`, found before the rows are shuffled.
+
+    All that are there stay, and by chance some others: what follows joins exactly.
+    """
+    asked = nodes.select(F.explode(F.array(*columns)).alias("node"))
+    return likely_keys(rows, "node", key_bits(asked, "node"))
+
+
 def _pruned(pairs: DataFrame, signatures: DataFrame, method: Method) -> DataFrame:
     """Pairs a, b that survive the comparison of their signatures."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +176,7 @@ def _pruned(pairs: DataFrame, signatures: DataFrame, method: Method) -> DataFram
                                                   _matrix(batch.column("sb"), "u1", method.hashes))[0])
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(alive), batch.column("b").take(alive)],
                                                  ["a", "b"])
-    sides = signatures.select("node", "signature")
+    sides = _asked(signatures.select("node", "signature"), pairs, "a", "b")
     joined = pairs.join(sides.toDF("a", "sa"), "a").join(sides.toDF("b", "sb"), "b")
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
@@ -193,7 +203,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, method: Method) -> DataFrame:
             keep = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)],
                                              ["a", "b"])
-    sides = texts.select("node", "text")
+    sides = _asked(texts.select("node", "text"), pairs, "a", "b")
     joined = pairs.join(sides.toDF("a", "ta"), "a").join(sides.toDF("b", "tb"), "b")
     return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
@@ -311,7 +321,7 @@ def _tile_links(members: DataFrame, signatures: DataFrame, sets: DataFrame, meth
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
 
     dealt = dealt_tiles(members, method.tile, "root").join(
-        signatures.select("node", "signature", "keys"), "node").join(sets, "node")
+        _asked(signatures.select("node", "signature", "keys"), members, "node"), "node").join(sets, "node")
     return in_runs(dealt, parts).mapInArrow(run, "a long, b long").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
@@ -357,15 +367,15 @@ def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
 
     marks = written(rows.where("n_shingles > 0").groupBy("n_shingles", "mark").agg(
         F.min("node").alias("class")), "neardup-classes")
-    signatures = rows.join(marks.select(F.col("class").alias("node")), "node", "left_semi")
-    keys = written(_keys(signatures, method), "neardup-keys", "zstd")
+    classes = rows.select("node", "keys").join(marks.select(F.col("class").alias("node")), "node", "left_semi")
+    keys = written(_keys(classes, method), "neardup-keys", "zstd")
     buckets = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead"))
                       .where("n > 1"), "neardup-buckets")
     members = written(keys.join(buckets, "key"), "neardup-members", "zstd")
 
     stars = written(members.where("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
                     .distinct(), "neardup-stars")
-    links = written(_confirmed(written(_pruned(stars, signatures, method), "neardup-likely"),
+    links = written(_confirmed(written(_pruned(stars, rows, method), "neardup-likely"),
                                numbered, method), "neardup-links")
     roots = written(connected(links), "neardup-roots")
     # A bucket of two held no other pair than its star; one with a single root is done.
@@ -375,8 +385,10 @@ def _grouped(numbered: DataFrame, method: Method) -> DataFrame:
                         .where("x != y").select("key"), "neardup-open")
     tiled = written(rooted.join(open_keys, "key"), "neardup-tiled", "zstd")
     tile_rows = tiled.agg(F.coalesce(F.sum(F.ceil(F.col("n") / method.tile)), F.lit(0))).first()[0]
-    sets = written(_sets(numbered.join(tiled.select("node").distinct(), "node", "left_semi"), method), "neardup-sets", "zstd")
-    more = _tile_links(tiled, signatures, sets, method, 1 + tile_rows // (2 * method.tile))
+    open_nodes = tiled.select("node").distinct()
+    sets = written(_sets(_asked(numbered.select("node", "text"), tiled, "node").join(open_nodes, "node", "left_semi"), method),
+                   "neardup-sets", "zstd")
+    more = _tile_links(tiled, rows, sets, method, 1 + tile_rows // (2 * method.tile))
     links = links.union(written(more.distinct(), "neardup-more"))
     roots = written(connected(links), "neardup-final")
 

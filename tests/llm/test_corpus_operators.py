@@ -162,6 +162,31 @@ def test_near_duplicates_just_above_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
 
 
+def _shuffled_rows(plan):
+    """Rows that the exchanges of a plan have written."""
+    n = plan.metrics().get("shuffleRecordsWritten")
+    below = plan.children()
+    return (n.get().value() if n.isDefined() else 0) + sum(_shuffled_rows(below.apply(i)) for i in range(below.size()))
+
+
+def test_only_texts_of_pairs_are_shuffled(spark):
+    method = near_duplicates.Method()
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    texts = spark.createDataFrame([(i, text(i // 2 if i < 4 else i)) for i in range(600)], "node long, text string")
+    rows = near_duplicates._signatures(texts.selectExpr("node", "node AS doc_id", "text"), method)
+    pairs = spark.createDataFrame([(1, 0), (3, 2), (9, 8)], "a long, b long")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(kept, ("false", "-1")):
+            spark.conf.set(k, v)
+        for found in (near_duplicates._pruned(pairs, rows, method), near_duplicates._confirmed(pairs, texts, method)):
+            assert sorted(map(tuple, found.collect())) == [(1, 0), (3, 2)]
+            assert _shuffled_rows(found._jdf.queryExecution().executedPlan()) < 60
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_personal_data_equals_plain_patterns(docs):
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
