@@ -92,6 +92,8 @@ class LogBilinear:
         self.inputs = draw.normal(0, 0.1, (2, k, d)).astype(np.float32)  # one table per distance
         self.outputs = draw.normal(0, 0.1, (k, d)).astype(np.float32)
         self.bias = np.log(shares).astype(np.float32)
+        self.odds = np.log(settings.noise * shares)
+        self.norms: np.ndarray | None = None  # by context, of the weights as they are
         self.past = [np.zeros_like(x) for x in (*self.inputs, self.outputs, self.bias)]
 
     def contexts(self, classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,20 +107,21 @@ class LogBilinear:
         return one, two
 
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, draw: np.random.Generator, rate: float) -> None:
-        s = self.settings
-        noise = draw.choice(len(self.shares), s.noise, p=self.shares)
+        self.norms = None
+        noise = draw.choice(len(self.shares), self.settings.noise, p=self.shares)
         u = self.inputs[0][one] + self.inputs[1][two]
         out = self.outputs[target]
         # Odds against `noise` draws; the draws are shared by the batch.
-        seen = (u * out).sum(1) + self.bias[target] - np.log(s.noise * self.shares[target])
-        drawn = u @ self.outputs[noise].T + self.bias[noise] - np.log(s.noise * self.shares[noise])
+        seen = (u * out).sum(1) + self.bias[target] - self.odds[target]
+        drawn = u @ self.outputs[noise].T + self.bias[noise] - self.odds[noise]
         push = 1 / (1 + np.exp(np.clip(seen, -30, 30)))
-        pull = -1 / (1 + np.exp(-np.clip(drawn, -30, 30)))
+        pull = np.exp(np.negative(np.clip(drawn, -30, 30, out=drawn), out=drawn), out=drawn)
+        pull = np.divide(-1, np.add(pull, 1, out=pull), out=pull)  # the largest array, kept in one place
         to_u = push[:, None] * out + pull @ self.outputs[noise]
         k = len(self.shares)
 
         def added(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-            order = np.argsort(rows, kind="stable")
+            order = np.argsort(rows.astype(np.min_scalar_type(k)), kind="stable")  # short numbers sort by digits
             rows, values = rows[order], values[order]
             at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
             total = np.zeros((k, values.shape[1]), dtype=np.float32)
@@ -137,22 +140,26 @@ class LogBilinear:
             table += rate * slope / (np.sqrt(past) + 1e-6)
 
     def log_probabilities(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log of the normalised probability of each target; equal contexts are done once."""
+        """Natural log of the normalised probability of each target.
+
+        A context is normalised over all classes the first time that it occurs, and its norm kept: a
+        table of classes x classes numbers, which all further texts look up.
+        """
         k = len(self.shares)
-        contexts, at = np.unique(one * k + two, return_inverse=True)
-        out = np.empty(len(target), dtype=np.float64)
-        order = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[order], np.arange(0, len(contexts) + 4096, 4096))
-        for block in range(0, len(contexts), 4096):
-            part = contexts[block:block + 4096]
-            u = self.inputs[0][part // k] + self.inputs[1][part % k]
-            scores = u @ self.outputs.T + self.bias
+        if self.norms is None:
+            self.norms = np.full(k * k, np.nan, dtype=np.float32)
+        contexts = one * k + two
+        asked = np.zeros(k * k, dtype=bool)
+        asked[contexts] = True
+        new = np.flatnonzero(asked & np.isnan(self.norms))
+        for block in range(0, len(new), 4096):
+            part = new[block:block + 4096]
+            scores = (self.inputs[0][part // k] + self.inputs[1][part % k]) @ self.outputs.T + self.bias
             top = scores.max(axis=1, keepdims=True)
-            norm = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1))
-            mine = order[edges[block // 4096]:edges[block // 4096 + 1]]
-            row = at[mine] - block
-            out[mine] = scores[row, target[mine]] - norm[row]
-        return out
+            self.norms[part] = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1))
+        u = self.inputs[0][one] + self.inputs[1][two]
+        own = np.einsum("ij,ij->i", u, self.outputs[target]) + self.bias[target]
+        return (own - self.norms[contexts]).astype(np.float64)
 
 
 def trained(texts: DataFrame, vocabulary: Vocabulary, shares: np.ndarray, settings: Settings) -> LogBilinear:

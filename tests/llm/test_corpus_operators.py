@@ -282,6 +282,25 @@ def test_language_model_counts_and_normalises(docs):
     assert np.isclose(np.exp(model.log_probabilities(np.full(5, 2), np.full(5, 3), every)).sum(), 1, atol=1e-5)
 
 
+def test_language_model_normalises_a_context_once(monkeypatch):
+    settings = language_model.Settings(frequent=20, shared=12)
+    k = settings.classes
+    model = language_model.LogBilinear(np.full(k, 1 / k), settings)
+    one, two, target = np.random.default_rng(3).integers(0, k, (3, 5000))
+    contexts = len(np.unique(one * k + two))
+    work, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **more: (work.append(np.size(x)), exp(x, **more))[1])
+    first = model.log_probabilities(one, two, target)
+    assert sum(work) == contexts * k
+    assert (model.log_probabilities(one[::2], two[::2], target[::2]) == first[::2]).all()
+    assert sum(work) == contexts * k  # nothing new
+    model.train(one, two, target, np.random.default_rng(4), 0.1)
+    got = model.log_probabilities(one, two, target)  # of the new weights
+    scores = (model.inputs[0][one] + model.inputs[1][two]).astype(float) @ model.outputs.T + model.bias
+    want = scores[np.arange(len(target)), target] - np.log(exp(scores).sum(axis=1))
+    assert np.abs(got - want).max() < 1e-5 and np.abs(got - first).max() > 1e-3
+
+
 def test_toxicity_on_separable_texts(spark):
     rows = [(i, sentence(i, 40) + (" awful dreadful" if i % 3 == 0 else "")) for i in range(240)]
     docs = spark.createDataFrame([*rows, (900, None), (None, "")], "doc_id long, text string")
