@@ -152,9 +152,18 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*CATALOGUE)
 
 
+BLOCK_ROWS = 1 << 15  # blocks of one task: less than a million hours to sort
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event block, before its hours; spread out, since each row grows 24-fold."""
-    return table(spark, sf_dir, "events").where(IS_EVENT).selectExpr(*BLOCK).repartition("id")
+    """One row per event block, before its hours; spread out, since each row grows 24-fold.
+
+    The blocks are counted: partitions left to adaptive execution are merged by the bytes they have
+    before they grow, and a task then holds 24 times as much, more the larger the table is.
+    """
+    rows = table(spark, sf_dir, "events").where(IS_EVENT).selectExpr(*BLOCK)
+    parts = max(spark.sparkContext.defaultParallelism, 1 + rows.count() // BLOCK_ROWS)
+    return rows.repartition(parts, "id")
 
 
 def block_hours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from talusflow.operators import catalogue as cat
 from talusflow.operators import quality as qc
 from talusflow.operators import warehouse as wh
 from talusflow.operators.reshape import explode_hourly, unpivot_soil
+from talusflow.plans import proxy
 from talusflow.schemas import BLOCK_KEYS, METRIC_NAMES, RULES, STAGED_HOUR, WAREHOUSE
 
 
@@ -151,3 +152,15 @@ def test_event_keys_cover_every_block(spark):
     keys = wh.load_star(rows)["event_keys"]
     back = wh.backfill_keys(wh.first_of_block(rows).select(*BLOCK_KEYS), keys)
     assert back.where("event_id is null or location_id is null").count() == 0 and back.count() == 2
+
+
+def test_blocks_of_a_task_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(proxy, "BLOCK_ROWS", 100, raising=False)
+    spark.range(4000).selectExpr(
+        "id AS event_id", "id % 90 AS user_id", "CAST('2024-01-05 07:00:00' AS timestamp_ntz) AS ts",
+        "IF(id % 2 = 0, 'error', 'purchase') AS event_type", "CAST(id AS double) AS value",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    hours = proxy.block_hours(spark, str(tmp_path))
+    per_task = hours.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 4000 * 24
+    assert max(r["count"] for r in per_task) <= 2 * 100 * 24
