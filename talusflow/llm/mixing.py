@@ -112,14 +112,14 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
                                     + F.lit(0.5)).cast("long")), "mixing-targets")
 
     place = F.col("_rank") / (F.lit(1.0) + F.col("_rank"))  # 0 to 1 in rank order
-    ranked = (
+    # Written, as each step asks for it: without its join every plan that follows is smaller.
+    ranked = written(
         rows.join(plan.select("_source", "_part"), "_source")
         .withColumn("_rank", _odds(F.col("_u"), F.col("_part")))
         .where(F.col("_rank").isNotNull())
         .withColumn("_coarse", F.floor(place * _COARSE))
         .withColumn("_fine", F.floor(place * (_COARSE * _FINE)))
-        .select("_source", "_size", "_rank", "_coarse", "_fine")
-    )
+        .select("_source", "_size", "_rank", "_coarse", "_fine"), "mixing-ranked")
     found, cut = _crossing(ranked, plan.select("_source", "_due"))
 
     # All ranks before the crossing step, and those inside it that still fit.
@@ -136,12 +136,12 @@ def mixing_plan(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     state = cuts.where("_crosses").select("_source", F.col("_fine_cut").alias("_f"), F.col("_over").alias("_c"),
                                           (F.col("_due") - F.col("_filled")).alias("_due"))
     while True:
-        small = (ranked.join(state, "_source").where(_after("_f", "_c") & (F.col("_size") <= F.col("_due"))
-                                                    & (F.col("_size") > 0)))
-        all_of = written(small.groupBy("_source").agg(F.sum("_size").alias("_all")), "mixing-fits")
-        if all_of.isEmpty():
+        small = written(ranked.join(state, "_source").where(
+            _after("_f", "_c") & (F.col("_size") <= F.col("_due")) & (F.col("_size") > 0)).select(*ranked.columns), "mixing-fits")
+        if small.isEmpty():
             break
-        found, cut = _crossing(small.drop("_due"), state.select("_source", "_due"))
+        all_of = small.groupBy("_source").agg(F.sum("_size").alias("_all"))
+        found, cut = _crossing(small, state.select("_source", "_due"))
         # A round takes what fits after the last rank that was over, up to its own cut; without a
         # crossing that is all. Repeated rows share a rank and are passed over together.
         done = written(

@@ -266,6 +266,16 @@ def test_mixing_meets_the_target_beside_a_giant(spark, seed):
     assert abs(sum(r.taken for r in done) / done[0].target - 1) < 0.01
 
 
+def test_plans_of_the_mix_stay_small(spark, monkeypatch):
+    rows = [(i, " ".join(["w"] * n)) for i, n in enumerate(np.random.default_rng(3).integers(1, 400, 300).tolist())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "concat('s', doc_id % 3) AS source")
+    joins, write = [], mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, *more: (
+        joins.append(df._jdf.queryExecution().analyzed().toString().count("Join ")), write(df, *more))[1])
+    mixing.mix_sources(frame).collect()
+    assert max(joins) <= 5 and sum(joins) <= 3 * len(joins)
+
+
 def test_language_model_counts_and_normalises(docs):
     rows = language_model.score_language(docs).collect()
     assert len(rows) == len(TEXTS) and all(np.isfinite([r.score, r.base_score]).all() and r.score < 0 for r in rows)
